@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playtrace.functions.arrays import dense
@@ -57,7 +57,7 @@ def place(tall: DataFrame, values: Sequence[CategoryValue]) -> DataFrame:
     return tall.join(F.broadcast(slots), ["column", "value"], "left")  # at most MAX_WIDE_VALUES rows
 
 
-def slots_expr(values: Sequence[CategoryValue]):
+def slots_expr(values: Sequence[CategoryValue]) -> Column:
     """Aggregate over placed tall rows: all statistics of all values as one dense array of doubles."""
     names = [f"{m}_{s}" for m in METRIC_COLUMNS for s in STATS]
     stats = F.array(F.col("n").cast("double"), *[nan_to(F.col(c)) for c in names])
@@ -111,9 +111,9 @@ def feature_columns(features: DataFrame) -> list[str]:
 
 
 def to_float32(features: DataFrame) -> DataFrame:
-    return features.select(
+    return features.selectExpr(
         *[c for c in KEYS if c in features.columns],
-        *[F.col(c).cast("float").alias(c) for c in feature_columns(features)])
+        *[f"CAST(`{c}` AS FLOAT) AS `{c}`" for c in feature_columns(features)])
 
 
 def carry_forward(by_phase: dict[str, DataFrame], phases: Sequence[str] = PHASES) -> dict[str, DataFrame]:
@@ -126,7 +126,7 @@ def carry_forward(by_phase: dict[str, DataFrame], phases: Sequence[str] = PHASES
     for phase in phases:
         prefix = phase_prefix(phase, list(phases))
         own = by_phase[phase]
-        own = own.select(SESSION, *[F.col(c).alias(prefix + c) for c in feature_columns(own)])
+        own = own.selectExpr(SESSION, *[f"`{c}` AS `{prefix}{c}`" for c in feature_columns(own)])
         wide = own
         for block in earlier:
             wide = wide.join(block, SESSION, "left")
@@ -136,6 +136,14 @@ def carry_forward(by_phase: dict[str, DataFrame], phases: Sequence[str] = PHASES
     return out
 
 
+def as_arrays(columns: Sequence[str]) -> tuple[Column, Column]:
+    """The columns as one array of doubles, and their names. Parsed from one text each: a wide row has too many
+    columns to build expression by expression from Python."""
+    values = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in columns)
+    names = ", ".join(f"'{c}'" for c in columns)
+    return F.expr(f"array({values})"), F.expr(f"array({names})")
+
+
 def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``feature, n, n_null, lowest, highest`` for numeric columns, as one narrow aggregation.
 
@@ -143,8 +151,7 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     produce a plan too large to compile.
     """
     columns = list(columns)
-    values = F.array(*[F.col(c).cast("double") for c in columns])
-    names = F.array(*[F.lit(c) for c in columns])
+    values, names = as_arrays(columns)
     tall = df.select(F.posexplode(values).alias("_i", "_x"))
     agg = tall.groupBy("_i").agg(
         F.count(F.lit(1)).alias("n"),
@@ -180,7 +187,6 @@ def select_features(features: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def features_long(features: DataFrame) -> DataFrame:
     """``session_id, level_group, feature, value`` without nulls: the wide row as a narrow table."""
-    columns = feature_columns(features)
-    names = F.array(*[F.lit(c) for c in columns])
-    tall = features.select(*KEYS, F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("_i", "value"))
+    values, names = as_arrays(feature_columns(features))
+    tall = features.select(*KEYS, F.posexplode(values).alias("_i", "value"))
     return tall.where(F.col("value").isNotNull()).select(*KEYS, F.get(names, F.col("_i")).alias("feature"), "value")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtrace.functions.arrays import nearest
 from playtrace.functions.columns import category, has_word, matches
 from playtrace.operators.vocab import melt
 from playtrace.plans.skew import CHECK, by_heat, value_at_ranks
@@ -19,35 +18,33 @@ from playtrace.schema import (
 TIME = "elapsed_time_diff"
 
 
+def holds(word: str) -> str:
+    """SQL text of the predicate "the event's text holds this word"."""
+    literal = word.replace("\\", "\\\\").replace("'", "\\'")
+    return f"contains(text, '{literal}')"
+
+
 def word_count_exprs(words: Sequence[str] = WORDS) -> list[Column]:
-    return [F.count_if(has_word(F.col("text"), w)).alias(f"word_{word_key(w)}") for w in words]
+    return [F.expr(f"count_if({holds(w)}) AS word_{word_key(w)}") for w in words]
 
 
 def word_time_exprs(words: Sequence[str] = WORDS, empty_sum_zero: bool = False) -> list[Column]:
     """Mergeable time statistics over the rows that hold a word."""
-    out = []
-    for w in words:
-        t = F.when(has_word(F.col("text"), w), F.col(TIME))
-        total = F.sum(t)
-        out += [
-            F.avg(t).alias(f"word_mean_{word_key(w)}"),
-            F.stddev_samp(t).alias(f"word_std_{word_key(w)}"),
-            F.max(t).alias(f"word_max_{word_key(w)}"),
-            (F.coalesce(total, F.lit(0)) if empty_sum_zero else total).alias(f"word_sum_{word_key(w)}"),
-        ]
-    return out
+    total = "coalesce(sum({t}), 0)" if empty_sum_zero else "sum({t})"
+    forms = {"mean": "avg({t})", "std": "stddev_samp({t})", "max": "max({t})", "sum": total}
+    return [
+        F.expr(f"{form.format(t=f'CASE WHEN {holds(w)} THEN {TIME} END')} AS word_{name}_{word_key(w)}")
+        for w in words for name, form in forms.items()]
 
 
 def word_median_exprs(words: Sequence[str] = WORDS) -> list[Column]:
-    return [F.median(F.when(has_word(F.col("text"), w), F.col(TIME))).alias(f"word_median_{word_key(w)}")
-            for w in words]
+    return [F.expr(f"median(CASE WHEN {holds(w)} THEN {TIME} END) AS word_median_{word_key(w)}") for w in words]
 
 
 def numeric_exprs(columns: Sequence[str] = NUMERIC_COLUMNS) -> list[Column]:
     return [
-        e for c in columns
-        for e in (F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std"), F.sum(c).alias(f"{c}_sum"))
-    ]
+        F.expr(f"{fn}(`{c}`) AS `{c}_{name}`")
+        for c in columns for name, fn in (("mean", "avg"), ("std", "stddev_samp"), ("sum", "sum"))]
 
 
 def quantile_name(column: str, q: str) -> str:
@@ -98,7 +95,7 @@ def quantiles_nearest(
 
     def ordinary(d: DataFrame) -> DataFrame:
         arrays = d.groupBy(*keys).agg(*[F.sort_array(F.collect_list(c)).alias(c) for c in columns])
-        return arrays.select(*keys, *[nearest(F.col(c), q).alias(quantile_name(c, q)) for c in columns for q in qs])
+        return arrays.selectExpr(*keys, *[nearest_sql(c, q, quantile_name(c, q)) for c in columns for q in qs])
 
     def heavy(d: DataFrame) -> DataFrame:
         tall = melt(d, keys, columns, lambda c: F.col(c).cast("double"))
@@ -116,6 +113,11 @@ def quantiles_nearest(
     return by_heat(events, keys, hot, ordinary, heavy)
 
 
+def nearest_sql(array: str, q: str, name: str) -> str:
+    """SQL text: element of rank round((n-1)*q), halves up, of a sorted array; null if it is empty."""
+    return f"get(`{array}`, CAST(round((size(`{array}`) - 1) * {q}BD) AS INT)) AS `{name}`"
+
+
 def _nearest_rank(q: str):
     return lambda n: F.round((n - 1) * F.expr(f"{q}BD")).cast("long")
 
@@ -150,9 +152,8 @@ def flat_stats(
     def ordinary(d: DataFrame) -> DataFrame:
         arrays = [F.sort_array(F.collect_list(c)).alias(f"_sorted_{c}") for c in NUMERIC_COLUMNS]
         agg = d.groupBy(*keys).agg(*mergeable_exprs(landmarks, empty_sum_zero), *word_median_exprs(), *arrays)
-        quantiles = {
-            quantile_name(c, q): nearest(F.col(f"_sorted_{c}"), q) for c in NUMERIC_COLUMNS for q in QUANTILES}
-        return agg.withColumns(quantiles).drop(*[f"_sorted_{c}" for c in NUMERIC_COLUMNS])
+        quantiles = [nearest_sql(f"_sorted_{c}", q, quantile_name(c, q)) for c in NUMERIC_COLUMNS for q in QUANTILES]
+        return agg.selectExpr(*[c for c in agg.columns if not c.startswith("_sorted_")], *quantiles)
 
     def heavy(d: DataFrame) -> DataFrame:
         agg = d.groupBy(*keys).agg(*mergeable_exprs(landmarks, empty_sum_zero))
