@@ -115,7 +115,7 @@ def quantiles_nearest(
 
 def nearest_sql(array: str, q: str, name: str) -> str:
     """SQL text: element of rank round((n-1)*q), halves up, of a sorted array; null if it is empty."""
-    return f"get(`{array}`, CAST(round((size(`{array}`) - 1) * {q}BD) AS INT)) AS `{name}`"
+    return f"CAST(get(`{array}`, CAST(round((size(`{array}`) - 1) * {q}BD) AS INT)) AS DOUBLE) AS `{name}`"
 
 
 def _nearest_rank(q: str):

@@ -267,11 +267,11 @@ def constant_columns(spark, sf):
     return P.constant_columns(event_log(spark, sf)[0], [*_ALL, "event_id"])
 
 
-@query("agg_collect_sequence", GLOG + "SELECT session_id, CAST(0 AS INT) AS segment,"
+@query("collect_sequence", GLOG + "SELECT session_id, CAST(0 AS INT) AS segment,"
        " array_to_string(list(event_name ORDER BY \"index\", elapsed_time, event_id), ',') AS event_name,"
        " array_to_string(list(CAST(level AS VARCHAR) ORDER BY \"index\", elapsed_time, event_id), ',') AS level"
        " FROM glog GROUP BY session_id")
-def agg_collect_sequence(spark, sf):
+def collect_sequence(spark, sf):
     log, hot = event_log(spark, sf)
     out = W.session_sequences(log, ["event_name", "level"], hot=hot)
     return out.select(SESSION, "segment", F.array_join("event_name", ",").alias("event_name"),
