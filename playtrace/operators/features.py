@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtrace.functions.arrays import dense
 from playtrace.functions.columns import nan_to
 from playtrace.operators.sessions import with_differences
 from playtrace.operators.stats import flat_stats, tall_stats
@@ -57,23 +56,27 @@ def place(tall: DataFrame, values: Sequence[CategoryValue]) -> DataFrame:
     return tall.join(F.broadcast(slots), ["column", "value"], "left")  # at most MAX_WIDE_VALUES rows
 
 
-def slots_expr(values: Sequence[CategoryValue]) -> Column:
-    """Aggregate over placed tall rows: all statistics of all values as one dense array of doubles."""
-    names = [f"{m}_{s}" for m in METRIC_COLUMNS for s in STATS]
-    stats = F.array(F.col("n").cast("double"), *[nan_to(F.col(c)) for c in names])
-    absent = F.array(F.lit(0.0), *[F.lit(None).cast("double") for _ in names])
-    entries = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", stats.alias("stats")))))
-    return F.flatten(dense(entries, "stats", len(values), absent))
+def slots_expr() -> Column:
+    """Aggregate over placed tall rows: slot number -> statistics of the values that occur."""
+    stats = F.struct("n", *[nan_to(F.col(f"{m}_{s}")).alias(f"{m}_{s}") for m in METRIC_COLUMNS for s in STATS])
+    entries = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", stats.alias("stats"))))
+    return F.map_from_entries(entries)
 
 
 def slot_columns(values: Sequence[CategoryValue]) -> list[str]:
-    names = [name for v in values for name in stat_names(v)]
-    return [f"_flat[{i}] AS `{name}`" for i, name in enumerate(names)]
+    """SQL texts of the 11 columns of each value. A lookup compares integers, and is shared by the 11."""
+    out = []
+    for v in values:
+        count, *stats = stat_names(v)
+        fields = [f"{m}_{s}" for m in METRIC_COLUMNS for s in STATS]
+        out.append(f"coalesce(_slots[{v.pos}].n, 0L) AS `{count}`")
+        out += [f"_slots[{v.pos}].{field} AS `{name}`" for field, name in zip(fields, stats)]
+    return out
 
 
 def spread(tall: DataFrame, values: Sequence[CategoryValue], keys: Sequence[str] = KEYS) -> DataFrame:
     """Tall statistics as 11 columns per value: count 0 and null statistics where a value does not occur."""
-    packed = place(tall, values).groupBy(*keys).agg(slots_expr(values).alias("_flat"))
+    packed = place(tall, values).groupBy(*keys).agg(slots_expr().alias("_slots"))
     return packed.selectExpr(*keys, *slot_columns(values))
 
 
@@ -84,7 +87,7 @@ def session_features(
     """All features of one phase, one row per session (``layout="wide"``), or only the tall statistics.
 
     Two branches, each reading and shuffling only its own columns by session: flat statistics, and the tall
-    statistics packed into one array per session. Everything after the shuffle (ordered differences,
+    statistics packed into one map per session. Everything after the shuffle (ordered differences,
     aggregations, the final join) uses that partitioning.
     """
     rows = events.where(F.col(PHASE) == phase).drop(*[c for c in ALL_NULL_COLUMNS if c in events.columns])
@@ -98,7 +101,7 @@ def session_features(
     tall = tall_stats(diffed, [*CATEGORY_COLUMNS, *[c for c in NUNIQUE_COLUMNS if c not in CATEGORY_COLUMNS]])
     packed = place(tall, values).groupBy(*KEYS).agg(
         *[F.count_if(F.col("column") == c).alias(f"{c}_nunique") for c in NUNIQUE_COLUMNS],
-        slots_expr(values).alias("_flat"))
+        slots_expr().alias("_slots"))
     doubles = [f.name for f in flat.schema.fields if f.dataType.typeName() == "double"]
     others = [c for c in flat.columns if c not in (*KEYS, *doubles)]
     return flat.join(packed, KEYS).selectExpr(

@@ -28,17 +28,27 @@ def word_count_exprs(words: Sequence[str] = WORDS) -> list[Column]:
     return [F.expr(f"count_if({holds(w)}) AS word_{word_key(w)}") for w in words]
 
 
-def word_time_exprs(words: Sequence[str] = WORDS, empty_sum_zero: bool = False) -> list[Column]:
-    """Mergeable time statistics over the rows that hold a word."""
-    total = "coalesce(sum({t}), 0)" if empty_sum_zero else "sum({t})"
-    forms = {"mean": "avg({t})", "std": "stddev_samp({t})", "max": "max({t})", "sum": total}
-    return [
-        F.expr(f"{form.format(t=f'CASE WHEN {holds(w)} THEN {TIME} END')} AS word_{name}_{word_key(w)}")
-        for w in words for name, form in forms.items()]
+def with_word_times(diffed: DataFrame, words: Sequence[str] = WORDS) -> DataFrame:
+    """Add one column per word: the time difference of the rows whose text holds it. Each text is searched once per
+    word here, and not again for every statistic."""
+    return diffed.selectExpr("*", *[f"CASE WHEN {holds(w)} THEN {TIME} END AS {word_column(w)}" for w in words])
+
+
+def word_column(word: str) -> str:
+    return f"_time_{word_key(word)}"
+
+
+def word_time_exprs(words: Sequence[str] = WORDS, empty_sum_zero: bool = False, count: bool = False) -> list[Column]:
+    """Mergeable statistics of the columns of ``with_word_times``."""
+    forms = {"word": "count({t})"} if count else {}
+    forms |= {"word_mean": "avg({t})", "word_std": "stddev_samp({t})", "word_max": "max({t})",
+              "word_sum": "coalesce(sum({t}), 0L)" if empty_sum_zero else "sum({t})"}
+    return [F.expr(f"{form.format(t=word_column(w))} AS {name}_{word_key(w)}")
+            for w in words for name, form in forms.items()]
 
 
 def word_median_exprs(words: Sequence[str] = WORDS) -> list[Column]:
-    return [F.expr(f"median(CASE WHEN {holds(w)} THEN {TIME} END) AS word_median_{word_key(w)}") for w in words]
+    return [F.expr(f"median({word_column(w)}) AS word_median_{word_key(w)}") for w in words]
 
 
 def numeric_exprs(columns: Sequence[str] = NUMERIC_COLUMNS) -> list[Column]:
@@ -80,8 +90,9 @@ def nunique(events: DataFrame, columns: Sequence[str] = NUNIQUE_COLUMNS, keys: S
 
 
 def mergeable_exprs(landmarks: Sequence[Landmark], empty_sum_zero: bool = False) -> list[Column]:
+    """Everything that combines map-side, over the rows of ``with_word_times``."""
     return [
-        F.count("index").alias("nrows"), *word_count_exprs(), *word_time_exprs(empty_sum_zero=empty_sum_zero),
+        F.count("index").alias("nrows"), *word_time_exprs(empty_sum_zero=empty_sum_zero, count=True),
         F.sum("elapsed_time").alias("elapsed_time_sum"), *numeric_exprs(), *span_exprs(landmarks),
     ]
 
@@ -98,21 +109,23 @@ def quantiles_nearest(
         return arrays.selectExpr(*keys, *[nearest_sql(c, q, quantile_name(c, q)) for c in columns for q in qs])
 
     def heavy(d: DataFrame) -> DataFrame:
-        tall = melt(d, keys, columns, lambda c: F.col(c).cast("double"))
-        ranks = {q: _nearest_rank(q) for q in qs}
-        picked = value_at_ranks(tall, [*keys, "column"], "value", ranks)
-        wide = picked.groupBy(*keys).agg(*[
-            F.max(F.when(F.col("column") == c, F.col(q_col(q)))).alias(quantile_name(c, q))
-            for c in columns for q in qs])
-        # Keys whose columns are all null have no ranks; they keep a row of nulls.
-        return d.select(*keys).distinct().join(wide, list(keys), "left")
-
-    def q_col(q: str) -> str:
-        return f"`{q}`"
+        return _distributed_quantiles(d, columns, qs, keys)
 
     return by_heat(events, keys, hot, ordinary, heavy)
 
 
+def _distributed_quantiles(
+    d: DataFrame, columns: Sequence[str], qs: Sequence[str], keys: Sequence[str],
+) -> DataFrame:
+    """Quantiles of hot keys, ranked without collecting. Keys whose columns are all null keep a row of nulls."""
+    tall = melt(d, keys, columns, lambda c: F.col(c).cast("double"))
+    picked = value_at_ranks(tall, [*keys, "column"], "value", {f"q{i}": _nearest_rank(q) for i, q in enumerate(qs)})
+    wide = picked.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("column") == c, F.col(f"q{i}"))).alias(quantile_name(c, q))
+        for c in columns for i, q in enumerate(qs)])
+    return d.select(*keys).distinct().join(wide, list(keys), "left")
+
+
 def nearest_sql(array: str, q: str, name: str) -> str:
     """SQL text: element of rank round((n-1)*q), halves up, of a sorted array; null if it is empty."""
     return f"CAST(get(`{array}`, CAST(round((size(`{array}`) - 1) * {q}BD) AS INT)) AS DOUBLE) AS `{name}`"
@@ -122,24 +135,29 @@ def _nearest_rank(q: str):
     return lambda n: F.round((n - 1) * F.expr(f"{q}BD")).cast("long")
 
 
-def word_medians(events: DataFrame, words: Sequence[str] = WORDS, keys: Sequence[str] = KEYS, hot=CHECK) -> DataFrame:
-    """Exact median of the time difference over the rows that hold each word."""
+def _distributed_medians(timed: DataFrame, words: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Medians of hot keys: one row per hit, ranked without collecting."""
+    columns = [word_column(w) for w in words]
+    tall = melt(timed, keys, columns, F.col).where(F.col("value").isNotNull())
+    middle = value_at_ranks(tall, [*keys, "column"], "value", {
+        "low": lambda n: F.floor((n - 1) / 2), "high": lambda n: F.ceil((n - 1) / 2)})
+    wide = middle.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("column") == word_column(w), (F.col("low") + F.col("high")) / 2.0))
+        .alias(f"word_median_{word_key(w)}") for w in words])
+    return timed.select(*keys).distinct().join(wide, list(keys), "left")
+
+
+def word_times(diffed: DataFrame, words: Sequence[str] = WORDS, keys: Sequence[str] = KEYS, hot=CHECK) -> DataFrame:
+    """mean, std, max, sum and exact median of the time difference over the rows that hold each word."""
+    keys = list(keys)
 
     def ordinary(d: DataFrame) -> DataFrame:
-        return d.groupBy(*keys).agg(*word_median_exprs(words))
+        return d.groupBy(*keys).agg(*word_time_exprs(words), *word_median_exprs(words))
 
     def heavy(d: DataFrame) -> DataFrame:
-        hits = F.filter(
-            F.array(*[F.when(has_word(F.col("text"), w), F.lit(word_key(w))) for w in words]), lambda x: x.isNotNull())
-        tall = d.select(*keys, TIME, F.explode(hits).alias("word"))
-        middle = value_at_ranks(tall, [*keys, "word"], TIME, {
-            "low": lambda n: F.floor((n - 1) / 2), "high": lambda n: F.ceil((n - 1) / 2)})
-        wide = middle.groupBy(*keys).agg(*[
-            F.max(F.when(F.col("word") == word_key(w), (F.col("low") + F.col("high")) / 2.0))
-            .alias(f"word_median_{word_key(w)}") for w in words])
-        return d.select(*keys).distinct().join(wide, list(keys), "left")
+        return d.groupBy(*keys).agg(*word_time_exprs(words)).join(_distributed_medians(d, words, keys), keys)
 
-    return by_heat(events, keys, hot, ordinary, heavy)
+    return by_heat(with_word_times(diffed, words), keys, hot, ordinary, heavy)
 
 
 def flat_stats(
@@ -157,10 +175,10 @@ def flat_stats(
 
     def heavy(d: DataFrame) -> DataFrame:
         agg = d.groupBy(*keys).agg(*mergeable_exprs(landmarks, empty_sum_zero))
-        return (agg.join(word_medians(d, keys=keys), keys)
-                .join(quantiles_nearest(d, keys=keys), keys))
+        return (agg.join(_distributed_medians(d, WORDS, keys), keys)
+                .join(_distributed_quantiles(d, NUMERIC_COLUMNS, QUANTILES, keys), keys))
 
-    return by_heat(diffed, keys, hot, ordinary, heavy)
+    return by_heat(with_word_times(diffed), keys, hot, ordinary, heavy)
 
 
 def tall_stats(

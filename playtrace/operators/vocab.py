@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playtrace.functions.columns import encoded
-from playtrace.plans.skew import BROADCAST_KEYS, CHECK, bounded_broadcast, with_row_number
+from playtrace.plans.skew import BROADCAST_KEYS, CHECK, with_row_number
 from playtrace.schema import PHASE, VOCAB_COLUMNS, null_token
 
 
@@ -28,27 +28,27 @@ def build_vocab(events: DataFrame, columns: Sequence[str] = VOCAB_COLUMNS, by_ph
     return numbered.select(*keys, "value", (F.col("_rn") - 1).cast("int").alias("pos"))
 
 
-def vocab_sizes(vocab: DataFrame) -> DataFrame:
-    keys = [c for c in (PHASE, "column") if c in vocab.columns]
-    return vocab.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("size"))
-
-
-def encode_column(
-    events: DataFrame, vocab: DataFrame, column: str, name: str, unseen_as_null_token: bool = False,
+def encode_columns(
+    events: DataFrame, vocab: DataFrame, columns: dict[str, str], unseen_as_null_token: bool = False,
     rows: int = BROADCAST_KEYS,
 ) -> DataFrame:
-    """Add ``name``: the id of ``column`` in its phase's vocabulary (see ``encoded``; ids reach n+1, so an
-    embedding table needs n+2 rows). The vocabulary is broadcast only up to ``rows`` values."""
-    words = vocab.where(F.col("column") == column)
-    lookup = words.select(F.col(PHASE).alias("_phase"), F.col("value").alias("_value"), F.col("pos").alias("_pos"))
-    sizes = vocab_sizes(words).select(F.col(PHASE).alias("_size_phase"), F.col("size").alias("_size"))
-    text = F.col(column).cast("string")
-    out = events.join(
-        bounded_broadcast(lookup, rows), (F.col(PHASE) == F.col("_phase")) & (text == F.col("_value")), "left")
-    out = out.join(bounded_broadcast(sizes), F.col(PHASE) == F.col("_size_phase"), "left")
-    size = F.coalesce(F.col("_size"), F.lit(0))
-    is_token = text.isNull() | (text == null_token(column))
-    if unseen_as_null_token:
-        is_token = is_token | F.col("_pos").isNull()
-    return out.withColumn(name, encoded(F.col("_pos"), is_token, size)).drop(
-        "_phase", "_value", "_pos", "_size_phase", "_size")
+    """Add, for each ``column: name``, the id of the column in its phase's vocabulary (see ``encoded``; ids reach
+    n+1, so an embedding table needs n+2 rows). The vocabulary is broadcast only up to ``rows`` values, which one
+    count settles for all columns."""
+    words = vocab.where(F.col("column").isin(list(columns)))
+    small = words.limit(rows + 1).count() <= rows
+    sizes = words.groupBy(F.col(PHASE).alias("_phase")).agg(
+        *[F.count_if(F.col("column") == c).cast("int").alias(f"_size_{c}") for c in columns])
+    out = events.join(F.broadcast(sizes) if small else sizes, F.col(PHASE) == F.col("_phase"), "left")
+    for c, name in columns.items():
+        lookup = words.where(F.col("column") == c).select(
+            F.col(PHASE).alias("_of"), F.col("value").alias("_value"), F.col("pos").alias("_pos"))
+        text = F.col(c).cast("string")
+        out = out.join(
+            F.broadcast(lookup) if small else lookup, (F.col(PHASE) == F.col("_of")) & (text == F.col("_value")), "left")
+        is_token = text.isNull() | (text == null_token(c))
+        if unseen_as_null_token:
+            is_token = is_token | F.col("_pos").isNull()
+        size = F.coalesce(F.col(f"_size_{c}"), F.lit(0))
+        out = out.withColumn(name, encoded(F.col("_pos"), is_token, size)).drop("_of", "_value", "_pos")
+    return out.drop("_phase", *[f"_size_{c}" for c in columns])

@@ -13,7 +13,7 @@ from playtrace.operators import metrics as M
 from playtrace.operators import sessions as W
 from playtrace.operators import stats as A
 from playtrace.operators.features import carry_forward, prune_features, session_features
-from playtrace.operators.vocab import build_vocab, encode_column
+from playtrace.operators.vocab import build_vocab, encode_columns
 from playtrace.schema import KEYS, LANDMARKS, unique_names, word_key, WORDS
 
 
@@ -83,12 +83,6 @@ def test_pad_left(spark, given, want):
     assert df.select(R.pad_left(F.col("a"), 3, F.lit(0))).first()[0] == want
 
 
-def test_dense_array(spark):
-    df = spark.createDataFrame([([(1, "b"), (3, "d")],), ([],)], "e array<struct<pos:int,v:string>>")
-    out = [r[0] for r in df.select(R.dense(F.col("e"), "v", 5, F.lit("-"))).collect()]
-    assert out == [["-", "b", "-", "d", "-"], ["-"] * 5]
-
-
 def test_label_ids(spark):
     df = L.parse_labels(spark.createDataFrame([("20090312431273200_q14",), ("abc",)], "session_id string"))
     assert [(r["session"], r["level"]) for r in df.collect()] == [(20090312431273200, 14), (None, None)]
@@ -159,9 +153,9 @@ def test_prune(spark):
 def test_encoding(spark):
     vocab = build_vocab(events(spark, {"fqid": "a"}, {"fqid": "b"}))
     log = events(spark, {"fqid": "b"}, {"fqid": None}, {"fqid": "new"})
-    ids = [r["id"] for r in encode_column(log, vocab, "fqid", "id").orderBy("index").collect()]
+    ids = [r["id"] for r in encode_columns(log, vocab, {"fqid": "id"}).orderBy("index").collect()]
     assert ids == [2, 3, None]
-    ids = [r["id"] for r in encode_column(log, vocab, "fqid", "id", True).orderBy("index").collect()]
+    ids = [r["id"] for r in encode_columns(log, vocab, {"fqid": "id"}, True).orderBy("index").collect()]
     assert ids == [2, 3, 3]
 
 

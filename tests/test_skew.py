@@ -38,7 +38,7 @@ CASES = {
     "monotonic": lambda log: W.non_monotonic_sessions(log),
     "row_number": lambda log: skew.with_row_number(log, [SESSION], ["event_id"], "rn", "n").select("event_id", "rn", "n"),
     "quantiles": lambda log: A.quantiles_nearest(W.with_differences(log)),
-    "medians": lambda log: A.word_medians(W.with_differences(log)),
+    "medians": lambda log: A.word_times(W.with_differences(log)),
     "flat": lambda log: A.flat_stats(W.with_differences(log)),
     "vocab": lambda log: build_vocab(log),
     "ranks": lambda log: skew.value_at_ranks(log, [SESSION], "room_coor_x", {"mid": lambda n: F.floor((n - 1) / 2)}),

@@ -117,20 +117,24 @@ def event_embedding(spark, sf, n, weighted):
     return Q.tail_embedding(log, table(spark, sf, "embeddings"), "k", n, weighted, word="vec_id", vector="embedding")
 
 
+def by_dimension(embeddings):
+    return embeddings.select(SESSION, F.posexplode("embedding").alias("dim", "value"))
+
+
 @query("mean_embedding", _embedding_sql(10, "1.0e0") + " SELECT session_id, dim, " + r("value", "value", 6) + " FROM emb")
 def mean_embedding(spark, sf):
-    return rounded(event_embedding(spark, sf, 10, False), 6)
+    return rounded(by_dimension(event_embedding(spark, sf, 10, False)), 6)
 
 
 @query("weighted_embedding", _embedding_sql(50, _RECENCY) + " SELECT session_id, dim, " + r("value", "value", 6) + " FROM emb")
 def weighted_embedding(spark, sf):
-    return rounded(event_embedding(spark, sf, 50, True), 6)
+    return rounded(by_dimension(event_embedding(spark, sf, 50, True)), 6)
 
 
 @query("expand_vector", _embedding_sql(10, "1.0e0") + " SELECT session_id, "
        + ", ".join(r(f"max(value) FILTER (dim = {i})", f"embedding_{i}", 6) for i in range(64)) + " FROM emb GROUP BY session_id")
 def expand_vector(spark, sf):
-    return rounded(Q.expand_vector(event_embedding(spark, sf, 10, False), 64, "embedding"), 6)
+    return rounded(Q.expand_vector(event_embedding(spark, sf, 10, False), "embedding", 64, "embedding"), 6)
 
 
 @query("train_embedding")

@@ -12,7 +12,7 @@ from playtrace.operators import sessions as W
 from playtrace.operators import stats as A
 from playtrace.operators.features import carry_forward, features_long, prune_features, session_features
 from playtrace.operators.modelsel import mean_importance, top_half
-from playtrace.operators.vocab import build_vocab, encode_column
+from playtrace.operators.vocab import build_vocab, encode_columns
 from playtrace.schema import KEYS, LANDMARKS, PHASE, PHASES, SESSION, word_key
 from playtrace.sources import tables as S
 from workload.inputs import event_log, parsed_labels, question_labels, scores, scores_long, table
@@ -115,7 +115,7 @@ def align_models(spark, sf):
        " LEFT JOIN vocab v ON v.level_group = g.level_group AND v.\"column\" = 'room_fqid' AND v.value = g.room_fqid")
 def broadcast_vocab(spark, sf):
     log, _ = event_log(spark, sf)
-    return encode_column(log, stored_vocab(spark, log), "room_fqid", "room_id").select("event_id", "room_fqid", "room_id")
+    return encode_columns(log, stored_vocab(spark, log), {"room_fqid": "room_id"}).select("event_id", "room_fqid", "room_id")
 
 
 @query("session_group_grid", GLOG + "SELECT s.session_id, g.step, g.level_group FROM (SELECT DISTINCT session_id FROM glog) s"
@@ -148,8 +148,7 @@ def word_time_sql(w: str) -> list[str]:
        + f" FROM d GROUP BY {SG}")
 def agg_word_time(spark, sf):
     d, hot = diffed(spark, sf)
-    additive = d.groupBy(*KEYS).agg(*A.word_time_exprs())
-    return rounded(additive.join(A.word_medians(d, hot=hot), KEYS), 3)
+    return rounded(A.word_times(d, hot=hot), 3)
 
 
 @query("agg_nunique", GLOG + f"SELECT {SG}, " + ", ".join(

@@ -15,7 +15,7 @@ from playtrace.operators.features import (
 )
 from playtrace.operators.sessions import reversal_flag, with_differences
 from playtrace.operators.stats import elapsed_basic, numeric_exprs
-from playtrace.operators.vocab import build_vocab, encode_column
+from playtrace.operators.vocab import build_vocab, encode_columns
 from playtrace.schema import ALL_NULL_COLUMNS, EVENT_SCHEMA, KEYS, PHASE, SESSION
 from playtrace.sources import tables as S
 from workload.inputs import event_log, parsed_labels, question_labels, scores, scores_long, table
@@ -284,10 +284,7 @@ def encode_category(spark, sf):
     path = scratch(spark, "vocab")
     S.write_vocab(build_vocab(log), path)
     vocab = S.read_table(spark, path)
-    out = log
-    for c in _ENCODED:
-        out = encode_column(out, vocab, c, f"{c}_id")
-    return out.select("event_id", *[f"{c}_id" for c in _ENCODED])
+    return encode_columns(log, vocab, {c: f"{c}_id" for c in _ENCODED}).select("event_id", *[f"{c}_id" for c in _ENCODED])
 
 
 @query("cast_float32", GLOG + "SELECT session_id, level_group, CAST(sum(elapsed_time) AS FLOAT) AS elapsed_sum,"
