@@ -13,10 +13,10 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorSlicer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtrace.operators.metrics import log_loss
@@ -56,10 +56,10 @@ class ModelSpec:
 
 def feature_vector(features: DataFrame, names: Sequence[str], missing: float = MISSING) -> DataFrame:
     """``session_id`` and one dense vector of the named features, nulls and NaN replaced."""
-    filled = features.selectExpr(
-        SESSION, *[f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST({missing} AS DOUBLE)), CAST({missing} AS DOUBLE)) AS `{c}`"
-                   for c in names])
-    return VectorAssembler(inputCols=list(names), outputCol="features").transform(filled).select(SESSION, "features")
+    values = ", ".join(f"CAST(`{c}` AS DOUBLE)" for c in names)
+    instead = f"CAST({missing} AS DOUBLE)"
+    filled = f"transform(array({values}), x -> coalesce(nanvl(x, {instead}), {instead}))"
+    return features.select(SESSION, array_to_vector(F.expr(filled)).alias("features"))
 
 
 def model_rows(labels: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -75,9 +75,9 @@ def _width(rows: DataFrame) -> int:
     return rows.select("features").first()["features"].size
 
 
-def _side_by_side(jobs: Sequence, work: Callable, parallelism: int) -> list:
+def _side_by_side(spark: SparkSession, jobs: Sequence, work: Callable, parallelism: int) -> list:
     with ThreadPool(max(1, min(parallelism, len(jobs)))) as pool:
-        return pool.map(inheritable_thread_target(work), jobs)
+        return pool.map(inheritable_thread_target(spark)(work), jobs)
 
 
 def fit_levels(
@@ -97,7 +97,7 @@ def fit_levels(
         return spec.pipeline(level, n_features).fit(train)
 
     jobs = [(level, fold) for level in levels for fold in folds]
-    return dict(zip(jobs, _side_by_side(jobs, fit, parallelism)))
+    return dict(zip(jobs, _side_by_side(rows.sparkSession, jobs, fit, parallelism)))
 
 
 def predicted(model: Model, rows: DataFrame) -> DataFrame:
@@ -127,7 +127,9 @@ def predict_all_folds(vectors: DataFrame, models: dict[tuple[int, int], Pipeline
         for (level, fold), model in models.items()])
 
 
-def gains(models: dict[tuple[int, int], PipelineModel], names: Sequence[str], spark) -> DataFrame:
+def gains(
+    models: dict[tuple[int, int], PipelineModel], names: Sequence[str], spark: SparkSession,
+) -> DataFrame:
     """Importance of the features that each model uses: ``level, fold, feature, gain``. One small vector per model."""
     out = []
     for (level, fold), model in models.items():
@@ -154,7 +156,7 @@ def drop_column_selection(
         return log_loss(oof_predict(rows, models, spec.name)).first()["log_loss"]
 
     jobs = [(level, g) for level in levels for g in [None, *groups]]
-    found = dict(zip(jobs, _side_by_side(jobs, loss, parallelism)))
+    found = dict(zip(jobs, _side_by_side(rows.sparkSession, jobs, loss, parallelism)))
     table = [(level, g, found[level, None], found[level, g], found[level, g] < found[level, None])
              for level in levels for g in groups]
     return rows.sparkSession.createDataFrame(

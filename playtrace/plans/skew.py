@@ -14,11 +14,13 @@ import tempfile
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of one key that a single task may still sort.
-HOT_ROWS = 1_000_000
+#: Rows of one key that a single task may still sort, collect into an array, or count by value.
+HOT_ROWS = 200_000
+#: Rows of a chunk: a task's share of the hot keys, which it only sorts and streams through.
+CHUNK_ROWS = 5_000_000
 #: Most keys that are sent to every task as a broadcast side.
 BROADCAST_KEYS = 1_000_000
 
@@ -90,9 +92,7 @@ def in_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     """Sorted ranges of ``keys, order`` numbered by partition. Kept in the checkpoint folder, so that a lost
     executor cannot move a row to another chunk between the two reads that follow."""
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.count()
-    parts = max(parts, math.ceil(rows / HOT_ROWS))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() / CHUNK_ROWS))
     ranged = df.repartitionByRange(parts, *keys, *order)
     return reliable(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
