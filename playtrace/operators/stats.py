@@ -109,7 +109,7 @@ def quantiles_nearest(
         return arrays.selectExpr(*keys, *[nearest_sql(c, q, quantile_name(c, q)) for c in columns for q in qs])
 
     def heavy(d: DataFrame) -> DataFrame:
-        return _distributed_quantiles(d, columns, qs, keys)
+        return d.select(*keys).distinct().join(_distributed_quantiles(d, columns, qs, keys), list(keys), "left")
 
     return by_heat(events, keys, hot, ordinary, heavy)
 
@@ -117,13 +117,12 @@ def quantiles_nearest(
 def _distributed_quantiles(
     d: DataFrame, columns: Sequence[str], qs: Sequence[str], keys: Sequence[str],
 ) -> DataFrame:
-    """Quantiles of hot keys, ranked without collecting. Keys whose columns are all null keep a row of nulls."""
+    """Quantiles of hot keys that have any values, ranked without collecting."""
     tall = melt(d, keys, columns, lambda c: F.col(c).cast("double"))
     picked = value_at_ranks(tall, [*keys, "column"], "value", {f"q{i}": _nearest_rank(q) for i, q in enumerate(qs)})
-    wide = picked.groupBy(*keys).agg(*[
+    return picked.groupBy(*keys).agg(*[
         F.max(F.when(F.col("column") == c, F.col(f"q{i}"))).alias(quantile_name(c, q))
         for c in columns for i, q in enumerate(qs)])
-    return d.select(*keys).distinct().join(wide, list(keys), "left")
 
 
 def nearest_sql(array: str, q: str, name: str) -> str:
@@ -136,15 +135,14 @@ def _nearest_rank(q: str):
 
 
 def _distributed_medians(timed: DataFrame, words: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Medians of hot keys: one row per hit, ranked without collecting."""
+    """Medians of hot keys that have any: one row per hit, ranked without collecting."""
     columns = [word_column(w) for w in words]
     tall = melt(timed, keys, columns, F.col).where(F.col("value").isNotNull())
     middle = value_at_ranks(tall, [*keys, "column"], "value", {
         "low": lambda n: F.floor((n - 1) / 2), "high": lambda n: F.ceil((n - 1) / 2)})
-    wide = middle.groupBy(*keys).agg(*[
+    return middle.groupBy(*keys).agg(*[
         F.max(F.when(F.col("column") == word_column(w), (F.col("low") + F.col("high")) / 2.0))
         .alias(f"word_median_{word_key(w)}") for w in words])
-    return timed.select(*keys).distinct().join(wide, list(keys), "left")
 
 
 def word_times(diffed: DataFrame, words: Sequence[str] = WORDS, keys: Sequence[str] = KEYS, hot=CHECK) -> DataFrame:
@@ -155,7 +153,8 @@ def word_times(diffed: DataFrame, words: Sequence[str] = WORDS, keys: Sequence[s
         return d.groupBy(*keys).agg(*word_time_exprs(words), *word_median_exprs(words))
 
     def heavy(d: DataFrame) -> DataFrame:
-        return d.groupBy(*keys).agg(*word_time_exprs(words)).join(_distributed_medians(d, words, keys), keys)
+        return d.groupBy(*keys).agg(*word_time_exprs(words)).join(
+            _distributed_medians(d, words, keys), keys, "left")
 
     return by_heat(with_word_times(diffed, words), keys, hot, ordinary, heavy)
 
@@ -175,8 +174,8 @@ def flat_stats(
 
     def heavy(d: DataFrame) -> DataFrame:
         agg = d.groupBy(*keys).agg(*mergeable_exprs(landmarks, empty_sum_zero))
-        return (agg.join(_distributed_medians(d, WORDS, keys), keys)
-                .join(_distributed_quantiles(d, NUMERIC_COLUMNS, QUANTILES, keys), keys))
+        return (agg.join(_distributed_medians(d, WORDS, keys), keys, "left")
+                .join(_distributed_quantiles(d, NUMERIC_COLUMNS, QUANTILES, keys), keys, "left"))
 
     return by_heat(with_word_times(diffed), keys, hot, ordinary, heavy)
 

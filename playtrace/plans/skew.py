@@ -98,8 +98,10 @@ def in_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 
 def _join_chunks(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Give every row its chunk's summary. There are few: at most one per hot key and task boundary. Sent to the
+    rows, they leave the window's shuffle as the only one."""
     on = [*keys, CHUNK]
-    side = summary.withColumnsRenamed({k: f"_k_{k}" for k in on})
+    side = bounded_broadcast(reliable(summary.withColumnsRenamed({k: f"_k_{k}" for k in on})))
     return df.join(side, _same(df, side, on), "left").drop(*[f"_k_{k}" for k in on])
 
 
@@ -190,6 +192,8 @@ def value_at_ranks(
     """Exact order statistics: for each name, the value at the 0-based rank that its function gives for the
     number of non-null values. Equal values are counted before the shuffle; nothing is collected."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    if isinstance(hot, _Check):
+        counts = reliable(counts)  # read again by the check
     run = with_running_sum(counts, keys, [value], F.col("_c"), "_cum", total="_n", hot=hot)
     n, cum, c = F.col("_n"), F.col("_cum"), F.col("_c")
     picked = [
