@@ -74,17 +74,12 @@ def slot_columns(values: Sequence[CategoryValue]) -> list[str]:
     return out
 
 
-def spread(tall: DataFrame, values: Sequence[CategoryValue], keys: Sequence[str] = KEYS) -> DataFrame:
-    """Tall statistics as 11 columns per value: count 0 and null statistics where a value does not occur."""
-    packed = place(tall, values).groupBy(*keys).agg(slots_expr().alias("_slots"))
-    return packed.selectExpr(*keys, *slot_columns(values))
-
-
 def session_features(
     events: DataFrame, phase: str, vocab: DataFrame, layout: str = "wide", hot=CHECK,
     landmarks: Sequence[Landmark] = LANDMARKS, empty_sum_zero: bool = False,
 ) -> DataFrame:
-    """All features of one phase, one row per session (``layout="wide"``), or only the tall statistics.
+    """All features of one phase, one row per session (``layout="wide"``), or only the tall statistics. In the wide
+    row a value that does not occur has count 0 and null statistics.
 
     Two branches, each reading and shuffling only its own columns by session: flat statistics, and the tall
     statistics packed into one map per session. Everything after the shuffle (ordered differences,

@@ -15,10 +15,6 @@ GRID_SIZE = 100
 STEP = 1.0 / (GRID_SIZE - 1)
 
 
-def _group(df: DataFrame, by: Sequence[str]):
-    return df.groupBy(*by)
-
-
 def macro_f1_from_counts(tp: Column, fp: Column, fn: Column, tn: Column) -> Column:
     """Mean F1 over the classes present in truth or prediction."""
     pos, neg = 2 * tp + fp + fn, 2 * tn + fp + fn
@@ -35,7 +31,7 @@ def macro_f1(
     cells = [
         F.sum(hit * truth).alias("tp"), F.sum(hit * (1 - truth)).alias("fp"),
         F.sum((1 - hit) * truth).alias("fn"), F.sum((1 - hit) * (1 - truth)).alias("tn")]
-    counts = _group(scores, by).agg(*cells)
+    counts = scores.groupBy(*by).agg(*cells)
     return counts.withColumn("macro_f1", macro_f1_from_counts(*[F.col(c) for c in ("tp", "fp", "fn", "tn")]))
 
 
@@ -57,7 +53,7 @@ def threshold_sweep(
     buckets = scores.groupBy(*by, thresholds_passed(F.col(p), strict).alias("b")).agg(
         F.sum(F.col(y)).alias("pos"), F.sum(1 - F.col(y)).alias("neg"))
     # At most 101 buckets per group.
-    packed = _group(buckets, by).agg(
+    packed = buckets.groupBy(*by).agg(
         F.collect_list(F.struct("b", "pos", "neg")).alias("_b"),
         F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     grid = packed.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(GRID_SIZE - 1))))
@@ -76,14 +72,14 @@ def threshold_sweep(
 def best_threshold(sweep: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Best score and the first threshold that has it."""
     best = F.max(F.struct("score", (-F.col("threshold")).alias("neg")))
-    return _group(sweep, by).agg(best.alias("_best")).select(
+    return sweep.groupBy(*by).agg(best.alias("_best")).select(
         *by, F.col("_best.score").alias("score"), (-F.col("_best.neg")).alias("threshold"))
 
 
 def log_loss(scores: DataFrame, by: Sequence[str] = (), y: str = "y", p: str = "p", eps: float = 1e-15) -> DataFrame:
     q = F.least(F.greatest(F.col(p), F.lit(eps)), F.lit(1 - eps))
     truth = F.col(y)
-    return _group(scores, by).agg(F.avg(-(truth * F.log(q) + (1 - truth) * F.log(1 - q))).alias("log_loss"))
+    return scores.groupBy(*by).agg(F.avg(-(truth * F.log(q) + (1 - truth) * F.log(1 - q))).alias("log_loss"))
 
 
 def roc_auc(scores: DataFrame, by: Sequence[str] = (), y: str = "y", p: str = "p", hot=CHECK) -> DataFrame:

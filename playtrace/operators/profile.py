@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playtrace.operators.vocab import melt
-from playtrace.plans.skew import CHECK, value_at_ranks
-from playtrace.schema import EVENT_ORDER, PHASE, SESSION
+from playtrace.plans.skew import value_at_ranks
+from playtrace.schema import EVENT_ORDER, SESSION
 
 
 def null_ratio(df: DataFrame, columns: Sequence[str], threshold: float = 0.9) -> DataFrame:
@@ -169,7 +169,3 @@ def session_overlap(left: DataFrame, right: DataFrame) -> DataFrame:
     return per.agg(
         F.sum("_l").alias("n_left"), F.sum("_r").alias("n_right"),
         F.sum(F.col("_l") * F.col("_r")).alias("n_both"))
-
-
-def phase_nunique(events: DataFrame) -> DataFrame:
-    return nunique_sessions(events, [PHASE])

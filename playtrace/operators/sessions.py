@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playtrace.functions.columns import bounded
-from playtrace.plans.skew import CHECK, find_hot, with_previous, with_row_number, with_running_sum
+from playtrace.plans.skew import CHECK, with_previous, with_row_number, with_running_sum
 from playtrace.schema import EVENT_ORDER, KEYS, SESSION
 
 #: Longest time between two events that counts, in ms.

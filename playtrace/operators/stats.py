@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtrace.functions.columns import category, has_word, matches
+from playtrace.functions.columns import category, matches
 from playtrace.operators.vocab import melt
 from playtrace.plans.skew import CHECK, by_heat, value_at_ranks
 from playtrace.schema import (

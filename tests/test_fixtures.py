@@ -14,7 +14,8 @@ from playtrace.operators import sessions as W
 from playtrace.operators import stats as A
 from playtrace.operators.features import carry_forward, prune_features, session_features
 from playtrace.operators.vocab import build_vocab, encode_columns
-from playtrace.schema import KEYS, LANDMARKS, unique_names, word_key, WORDS
+from playtrace.schema import EVENT_SCHEMA, KEYS, LANDMARKS, WORDS, unique_names, word_key
+from playtrace.sources import tables as S
 
 
 def one(df):
@@ -175,6 +176,24 @@ def test_first_play(spark):
     assert W.first_play_only(log).count() == 5
 
 
+def test_tables_and_arrival_ids(spark, tmp_path):
+    log = S.with_arrival_id(events(spark, {"name": "basic"}, {"name": None}, {"text": "a, \"b\""}).drop("event_id"))
+    S.write_events(log, f"{tmp_path}/log")
+    stored = S.read_table(spark, f"{tmp_path}/log")
+    assert stored.select("event_id").distinct().count() == 3
+    assert S.read_table(spark, f"{tmp_path}/log", 2).count() == 2
+    stored.drop("event_id").select(*[f.name for f in EVENT_SCHEMA.fields]).write.option("header", True).csv(f"{tmp_path}/csv")
+    assert S.read_events_csv(spark, f"{tmp_path}/csv").schema.names == EVENT_SCHEMA.names
+    assert S.read_events_csv(spark, f"{tmp_path}/csv").where("text = 'a, \"b\"'").count() == 1
+    assert S.read_events_csv(spark, f"{tmp_path}/csv", 1).count() == 1
+
+
+def test_whole_words(spark):
+    df = spark.createDataFrame([("this",), ("it is",)], "text string")
+    assert [r[0] for r in df.select(C.has_word(F.col("text"), "is")).collect()] == [True, True]
+    assert [r[0] for r in df.select(C.has_word(F.col("text"), "is", True)).collect()] == [False, True]
+
+
 def test_empty_sum_option(spark):
     d = W.with_differences(events(spark, {"text": "none of them"}))
     assert one(A.flat_stats(d))["word_sum_flag"] is None

@@ -329,7 +329,9 @@ def stream_session(spark):
 
 def replayed(spark, sf, variant="plain", slices=1):
     log, hot = event_log(spark, sf, variant)
-    path = scratch(spark, "stream")
+    stored, path = scratch(spark, "log"), scratch(spark, "stream")
+    S.write_events(log, stored)  # by phase, as the replay reads it
+    log = S.read_table(spark, stored)
     SF.replay(log, path, slices=slices)
     return log, hot, path
 

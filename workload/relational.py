@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from playtrace.functions.columns import category
 from playtrace.operators import labels as L
 from playtrace.operators import metrics as M
 from playtrace.operators import profile as P
