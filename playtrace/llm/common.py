@@ -68,13 +68,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * _ODD)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+BYTE_HASH = mix64(np.arange(1, 257, dtype=np.uint64) * _ODD)
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2^64."""
     if len(_POWERS.get("up", ())) < n:
         inverse = pow(int(_ODD), -1, 1 << 64)
@@ -88,15 +88,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def _hash_buffer(buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
     """``(hash, start)`` of each word of a buffer that ends with white space."""
     b = np.frombuffer(buffer, np.uint8)
-    space = _SPACE[b]
+    space = SPACE[b]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if not space[0]:
         edge = np.concatenate(([0], edge))
     start, end = edge[0::2], edge[1::2]
     start = start[:len(end)]
-    up, down = _powers(len(b) + 1)
+    up, down = powers(len(b) + 1)
     total = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum(_BYTE[b] * up[:-1], out=total[1:])
+    np.cumsum(BYTE_HASH[b] * up[:-1], out=total[1:])
     return mix64((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)), start
 
 
@@ -104,7 +104,7 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     at = 0
     while len(text) - at > CHUNK:
         end = at + CHUNK
-        while end < len(text) and not _SPACE[text[end]]:
+        while end < len(text) and not SPACE[text[end]]:
             end += 1
         yield text[at:end]
         at = end

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtrace.llm import chat, license_scan, mixing, quality, secret_scan
+from playtrace.llm import chat, license_scan, mixing, near_dup, packing, quality, secret_scan, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,3 +151,30 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(ATTACK).alias("text"))
     return chat.digests(chat.examples(given.unionByName(attack)))
+
+
+def vocabulary() -> str:
+    """The byte-level vocabulary of the public tokenizers on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = token_counts.build_trees(token_counts.masking_edits(docs), vocabulary(), edits="edits")
+    counted = token_counts.apply_edits(trees, vocabulary())
+    return counted.select(
+        "doc_id", F.col("before").alias("n_tokens"), "n_edits", F.col("after").alias("new_tokens"), "recoded",
+        F.length("text").cast("long").alias("new_chars"))
+
+
+@query("op10_best_fit_pack")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op2_minhash_near_dup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
