@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtrace.llm import chat, license_scan, mixing, near_dup, packing, quality, secret_scan, token_counts
+from playtrace.llm import chat, license_scan, lm, mixing, near_dup, packing, quality, secret_scan, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,3 +178,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_minhash_near_dup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op3_maxent_lm")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.fit_and_score(table(spark, sf_dir, "documents"))
