@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from playtrace.llm.common import as_bytes, bounded_batches, mix64, shingles, stored, word_hashes
 from playtrace.llm.components import components
+from playtrace.llm.tiles import local_links, meets, runs, tiles
 
 WIDTH = 5
 SIMILAR = 0.8
@@ -218,56 +219,31 @@ def similarity(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.nan_to_num(weighted), np.nan_to_num(plainly)
 
 
-def _local_links(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Links that join the same texts as the matrix does: each text with the first of its component."""
-    n = len(linked)
-    label = np.arange(n)
-    while True:
-        now = np.minimum(label, np.where(linked, label[None, :], n).min(axis=1))
-        now = now[now]
-        if (now == label).all():
-            return [(i, int(x)) for i, x in enumerate(label) if x != i]
-        label = now
-
-
 def verify(groups: DataFrame, idf) -> DataFrame:
-    """Links ``a, b`` found in groups ``key, i, j`` of rows ``digest, class, side, text``.
+    """Links ``a, b`` found in tiles ``key, i, j`` of rows ``digest, class, part, text``.
 
-    Compared are texts of different classes of which one is on side 0, linked those at ``SIMILAR`` by weighted or by plain
+    Compared are the texts of different classes that meet in the tile, linked those at ``SIMILAR`` by weighted or by plain
     Jaccard similarity; written are links that connect the same texts, fewer than texts.
     """
-    dealt = groups.select("key", "i", "j", "digest", "class", "side", "text").repartition("key", "i", "j")
+    dealt = groups.select("key", "i", "j", "digest", "class", "part", "text").repartition("key", "i", "j")
     dealt = dealt.sortWithinPartitions("key", "i", "j", "digest")
 
     def compare(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
-        own = list({r[3]: r for r in sorted(rows, key=lambda r: -r[5])}.values())
-        if len(own) < 2:
+        i, j = rows[0][1:3]
+        kinds = {c: k for k, c in enumerate({r[4] for r in rows})}
+        kind, part = np.array([kinds[r[4]] for r in rows]), np.array([r[5] for r in rows])
+        wanted = meets(i, j, part) & (kind[:, None] != kind[None, :])
+        if not wanted.any():
             return []
-        side = np.array([r[5] for r in own])
-        kinds = {c: k for k, c in enumerate({r[4] for r in own})}
-        kind = np.array([kinds[r[4]] for r in own])
-        if not (side == 0).any() or len(kinds) < 2:
-            return []
-        weighted, plain = similarity([r[6].lower() for r in own], idf.value)
-        linked = ((weighted >= SIMILAR) | (plain >= SIMILAR)) & ((side[:, None] == 0) | (side[None, :] == 0))
-        linked &= kind[:, None] != kind[None, :]
-        return [(own[a][3], own[b][3]) for a, b in _local_links(linked)]
+        weighted, plain = similarity([(r[6] or "").encode().lower() for r in rows], idf.value)
+        root = local_links(wanted & ((weighted >= SIMILAR) | (plain >= SIMILAR)))
+        return [(rows[a][3], rows[b][3]) for a, b in enumerate(root.tolist()) if a != b]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns[:-1]] + [as_bytes(batch.column(batch.num_columns - 1))]
-            found: list[tuple[bytes, bytes]] = []
-            for row in zip(*columns):
-                if rows and rows[0][:3] != row[:3]:
-                    found += compare(rows)
-                    rows = []
-                rows.append(row)
+        for rows in runs(batches, 3):
+            found = compare(rows)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], names=["a", "b"])
-        found = compare(rows)
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], names=["a", "b"])
 
     return dealt.mapInArrow(run, "a binary, b binary")
 
@@ -277,31 +253,6 @@ def _small(keys: DataFrame, bytes_each: int) -> DataFrame:
     return F.broadcast(keys) if keys.count() * bytes_each <= BROADCAST_BYTES else keys
 
 
-def _tiles(members: DataFrame) -> DataFrame:
-    """Groups for the members ``key, digest, class`` whose bucket holds more than one class.
-
-    Per bucket the largest class is side 1, all others side 0, both cut into parts of ``TILE``; a tile is a part of side 0
-    with itself, with a later part of side 0, or with a part of side 1.
-    """
-    by_class = members.groupBy("key", "class").count()
-    buckets = by_class.groupBy("key").agg(
-        F.max(F.struct("count", "class")).alias("most"), F.sum("count").alias("n")).where("n > most.count")
-    parts = lambda n: F.ceil(n / F.lit(TILE)).cast("int")
-    buckets = buckets.select(
-        "key", F.col("most.class").alias("large"), parts(F.col("n") - F.col("most.count")).alias("rest"),
-        parts(F.col("most.count")).alias("wide"))
-    own = members.join(buckets, "key").withColumn("side", (F.col("class") == F.col("large")).cast("int"))
-    part = F.pmod(F.xxhash64("digest"), F.when(F.col("side") == 1, F.col("wide")).otherwise(F.col("rest"))).cast("int")
-    own = own.withColumn("part", part)
-    rest = F.transform(F.sequence(F.lit(0), F.col("rest") - 1), lambda k: F.struct(
-        F.least(k, "part").alias("i"), F.greatest(k, "part").alias("j")))
-    wide = F.transform(F.sequence(F.lit(0), F.col("wide") - 1), lambda k: F.struct(F.col("part").alias("i"), (-1 - k).alias("j")))
-    mine = F.transform(F.sequence(F.lit(0), F.col("rest") - 1), lambda k: F.struct(k.alias("i"), (-1 - F.col("part")).alias("j")))
-    return own.select(
-        "key", "digest", "class", "side", F.explode(F.when(F.col("side") == 1, mine).otherwise(F.concat(rest, wide))).alias("t")
-    ).select("key", "digest", "class", "side", "t.i", "t.j")
-
-
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: ``doc_id, digest, class_id``, and ``first_digest, rows`` of the text that stands for its class.
 
@@ -331,11 +282,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     ranked = members.join(met, "digest")
     leaders = ranked.groupBy("key").agg(F.max(F.struct("met", "digest"))["digest"].alias("leader"), F.first("n").alias("n"))
     parts = F.ceil(F.col("n") / F.lit(TILE)).cast("int")
-    minus = F.lit(0)
-    lead = leaders.select("key", F.col("leader").alias("digest"), F.lit(0).alias("side"),
-                          F.explode(F.sequence(F.lit(0), parts - 1)).alias("i"), minus.alias("j"))
-    rest = members.select("key", "digest", F.lit(1).alias("side"), F.pmod(member, parts).cast("int").alias("i"), minus.alias("j"))
+    lead = leaders.select("key", F.col("leader").alias("digest"), F.lit(-1).alias("part"),
+                          F.explode(F.sequence(F.lit(0), parts - 1)).alias("i"))
+    rest = members.withColumn("part", F.pmod(member, parts).cast("int")).select("key", "digest", "part", F.col("part").alias("i"))
     star = lead.unionByName(rest.join(leaders.select("key", "leader"), "key").where("digest <> leader").drop("leader"))
+    star = star.withColumn("j", F.lit(-1))
     star = star.join(whole, "digest").withColumn("class", F.col("digest"))
     links = stored(verify(star, idf), "near-links")
     found = components(links, "near-classes")
@@ -343,7 +294,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     left = members.join(leaders.select("key", F.col("leader")), "key").where("digest <> leader").select("key", "digest")
     left = left.join(found.withColumnRenamed("node", "digest"), "digest", "left")
     left = left.select("key", "digest", F.coalesce("root", "digest").alias("class"))
-    more = stored(verify(_tiles(left).join(whole, "digest"), idf), "near-links")
+    more = stored(verify(tiles(left, TILE).join(whole, "digest"), idf), "near-links")
     if not more.isEmpty():
         found = components(links.unionByName(more), "near-classes")
     rooted = texts.join(found.withColumnRenamed("node", "digest"), "digest", "left").select(

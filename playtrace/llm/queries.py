@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtrace.llm import chat, license_scan, lm, mixing, near_dup, packing, quality, secret_scan, token_counts
+from playtrace.llm import chat, license_scan, lm, mixing, near_dup, packing, quality, secret_scan, token_counts, vector_dup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -183,3 +183,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_maxent_lm")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.fit_and_score(table(spark, sf_dir, "documents"))
+
+
+@query("op5_pivot_near_dup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dup.near_vectors(table(spark, sf_dir, "embeddings"))
