@@ -30,6 +30,7 @@ BLOCK = 512
 BATCH = 4096
 RATE = 0.3
 ROUNDS = 2
+NEVER = -1e4
 END = np.uint64(0x1D8E4E27C47D124F)
 _START = np.int64(1 << 40)
 _GROUP = 1 << 20
@@ -198,6 +199,9 @@ def train(docs: DataFrame, lex: Lexicon, text: str = "text", doc_id: str = "doc_
     bounded_batches(spark)
     shards = shards or 2 * spark.sparkContext.defaultParallelism
     table = np.zeros((TABLE + 1, CLASSES), np.float32)
+    empty = np.ones(CLASSES, bool)
+    empty[[*lex.kind, CLASSES - 1]] = False
+    table[TABLE, empty] = NEVER  # a class without words gets no probability, and no gradient moves it
     words = spark.sparkContext.broadcast(lex)
     part = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(rounds))
     schema = "block int, sums binary, seen binary"
