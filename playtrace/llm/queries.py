@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtrace.llm import chat, license_scan, lm, mixing, near_dup, packing, quality, secret_scan, token_counts, vector_dup
+from playtrace.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,9 +163,8 @@ def vocabulary() -> str:
 
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    trees = token_counts.build_trees(token_counts.masking_edits(docs), vocabulary(), edits="edits")
-    counted = token_counts.apply_edits(trees, vocabulary())
+    trees = stored(token_counts.build_trees(table(spark, sf_dir, "documents"), vocabulary()), "count-trees")
+    counted = token_counts.apply_edits(token_counts.masking_edits(trees), vocabulary())
     return counted.select(
         "doc_id", F.col("before").alias("n_tokens"), "n_edits", F.col("after").alias("new_tokens"), "recoded",
         F.length("text").cast("long").alias("new_chars"))

@@ -132,9 +132,9 @@ def _run(df: DataFrame, tokenizer: str, columns: list) -> DataFrame:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             out: dict[str, list] = {f.name: [] for f in schema.fields[1:] if f.name != "edits"}
             if updating:
-                trees = zip(texts, batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist())
+                trees = zip(texts, _arrays(batch.column(2)), _arrays(batch.column(3)), batch.column(4).to_pylist())
                 for text, chars, tokens, edits in trees:
-                    tree = CountTree(text, np.array(chars, np.int64), np.array(tokens, np.int64))
+                    tree = CountTree(text, chars.copy(), tokens.copy())
                     before, todo = encode.count_whole(text) if encode.is_special(text.encode()) else tree.total(), clean_edits(edits, len(text))
                     for start, end, new in todo:
                         tree.edit(start, end, new, encode)
@@ -147,15 +147,30 @@ def _run(df: DataFrame, tokenizer: str, columns: list) -> DataFrame:
                     tree = CountTree.build(text, size, count)
                     for name, value in (("text", text), ("chars", tree.chars), ("tokens", tree.tokens)):
                         out[name].append(value)
-            kinds = {"text": pa.string(), "chars": pa.list_(pa.int64()), "tokens": pa.list_(pa.int64())}
             arrays = [batch.column(0)]
             for f in schema.fields[1:]:
-                arrays.append(batch.column(given.index("edits")) if f.name == "edits" else pa.array(out[f.name], kinds.get(f.name, pa.int64())))
+                if f.name == "edits":
+                    arrays.append(batch.column(given.index("edits")))
+                elif f.name in ("chars", "tokens"):
+                    arrays.append(_lists(out[f.name]))
+                else:
+                    arrays.append(pa.array(out[f.name], pa.string() if f.name == "text" else pa.int64()))
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return own.mapInArrow(run, schema)
 
 
+def _arrays(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """The lists of an Arrow column as numpy views."""
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return (values[a:b] for a, b in zip(ends, ends[1:]))
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *arrays])))
+
+
 #: What a release of the corpus masks: mail addresses, network addresses, long runs of digits and of hexadecimal digits.
 MASKED = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b[0-9a-f]{24,}\b|\d{7,}"
 
