@@ -39,7 +39,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "4m") -> None:
     """Keep Arrow batches small enough that long texts do not fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

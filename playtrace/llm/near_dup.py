@@ -30,7 +30,7 @@ SKETCH = 1 << 18
 BLOCK = 1 << 12
 TILE = 128
 #: Key tables up to this size are broadcast; beyond it Spark joins by shuffles.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 8 << 20
 _GROUP = 1 << 20
 
 
@@ -220,15 +220,15 @@ def similarity(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def verify(groups: DataFrame, idf) -> DataFrame:
-    """Links ``a, b`` found in tiles ``key, i, j`` of rows ``digest, class, part, text``.
+    """Links ``a, b`` found in tiles ``key, i, j`` of rows ``item, class, part, text``.
 
     Compared are the texts of different classes that meet in the tile, linked those at ``SIMILAR`` by weighted or by plain
     Jaccard similarity; written are links that connect the same texts, fewer than texts.
     """
-    dealt = groups.select("key", "i", "j", "digest", "class", "part", "text").repartition("key", "i", "j")
-    dealt = dealt.sortWithinPartitions("key", "i", "j", "digest")
+    dealt = groups.select("key", "i", "j", "item", "class", "part", "text").repartition("key", "i", "j")
+    dealt = dealt.sortWithinPartitions("key", "i", "j", "item")
 
-    def compare(rows: list[tuple]) -> list[tuple[bytes, bytes]]:
+    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
         i, j = rows[0][1:3]
         kinds = {c: k for k, c in enumerate({r[4] for r in rows})}
         kind, part = np.array([kinds[r[4]] for r in rows]), np.array([r[5] for r in rows])
@@ -243,9 +243,9 @@ def verify(groups: DataFrame, idf) -> DataFrame:
         for rows in runs(batches, 3):
             found = compare(rows)
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a binary, b binary")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def _small(keys: DataFrame, bytes_each: int) -> DataFrame:
@@ -265,46 +265,46 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     idf = spark.sparkContext.broadcast(idf_table(*document_frequencies(docs, text)))
     signed = stored(signatures(docs, idf, doc_id, text), "near-signatures")
     texts = signed.groupBy("digest", "doc_id").agg(F.count("*").alias("rows"), F.first("bands").alias("bands"))
-    texts = stored(texts.groupBy("digest").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rows")).alias("first"),
-        F.first("bands").alias("bands")), "near-texts")
-    sampled = texts.select("digest", F.explode("bands").alias("key"))
-    member = F.xxhash64("digest")
+    texts = texts.groupBy("digest").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rows")).alias("first"), F.first("bands").alias("bands"))
+    # distinct texts by a number of their own, which the table fixes
+    texts = stored(texts.withColumn("item", F.monotonically_increasing_id()), "near-texts")
+    sampled = texts.select("item", F.explode("bands").alias("key"))
+    member = F.xxhash64("item")
     buckets = sampled.groupBy("key").agg(
         F.count("*").alias("n"), F.bit_xor(member).alias("x"), F.sum(member % 1000003).alias("s")).where("n > 1")
     buckets = buckets.groupBy("n", "x", "s").agg(F.min("key").alias("key"))  # the same members in several bands: once
     members = stored(sampled.join(buckets.select("key", "n"), "key"), "near-members")
-    needed = members.select("digest").distinct()
+    needed = texts.select("item", "digest").join(members.select("item").distinct(), "item")
     own = docs.select(_digest(text).alias("digest"), F.col(text).alias("text"))
-    whole = stored(own.join(_small(needed, 40), "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text")), "near-whole")
+    whole = own.join(_small(needed, 60), "digest").groupBy("item").agg(F.first("text").alias("text"))
+    whole = stored(whole, "near-whole")
     # the leader of a bucket is the member that meets most others over all its buckets
-    met = members.groupBy("digest").agg(F.sum("n").alias("met"))
-    ranked = members.join(met, "digest")
-    leaders = ranked.groupBy("key").agg(F.max(F.struct("met", "digest"))["digest"].alias("leader"), F.first("n").alias("n"))
+    met = members.groupBy("item").agg(F.sum("n").alias("met"))
+    leaders = members.join(met, "item").groupBy("key").agg(F.max_by("item", F.struct("met", "item")).alias("leader"), F.first("n").alias("n"))
+    leaders = stored(leaders, "near-leaders")
     parts = F.ceil(F.col("n") / F.lit(TILE)).cast("int")
-    lead = leaders.select("key", F.col("leader").alias("digest"), F.lit(-1).alias("part"),
+    lead = leaders.select("key", F.col("leader").alias("item"), F.lit(-1).alias("part"),
                           F.explode(F.sequence(F.lit(0), parts - 1)).alias("i"))
-    rest = members.withColumn("part", F.pmod(member, parts).cast("int")).select("key", "digest", "part", F.col("part").alias("i"))
-    star = lead.unionByName(rest.join(leaders.select("key", "leader"), "key").where("digest <> leader").drop("leader"))
-    star = star.withColumn("j", F.lit(-1))
-    star = star.join(whole, "digest").withColumn("class", F.col("digest"))
+    others = members.join(leaders.select("key", "leader"), "key").where("item <> leader")
+    rest = others.withColumn("part", F.pmod(member, parts).cast("int")).select("key", "item", "part", F.col("part").alias("i"))
+    star = lead.unionByName(rest).withColumn("j", F.lit(-1)).join(whole, "item").withColumn("class", F.col("item"))
     links = stored(verify(star, idf), "near-links")
-    found = components(links, "near-classes")
+    found = stored(components(links, "near-classes"), "near-found")
     # what a leader did not settle: members of one bucket in different classes
-    left = members.join(leaders.select("key", F.col("leader")), "key").where("digest <> leader").select("key", "digest")
-    left = left.join(found.withColumnRenamed("node", "digest"), "digest", "left")
-    left = left.select("key", "digest", F.coalesce("root", "digest").alias("class"))
-    more = stored(verify(tiles(left, TILE).join(whole, "digest"), idf), "near-links")
+    left = others.select("key", "item").join(found.withColumnRenamed("node", "item"), "item", "left")
+    left = left.select("key", "item", F.coalesce("root", "item").alias("class"))
+    more = stored(verify(tiles(left, TILE).join(whole, "item"), idf), "near-links")
     if not more.isEmpty():
         found = components(links.unionByName(more), "near-classes")
-    rooted = texts.join(found.withColumnRenamed("node", "digest"), "digest", "left").select(
-        "digest", "first", F.coalesce("root", "digest").alias("root"))
+    rooted = texts.join(found.withColumnRenamed("node", "item"), "item", "left").select(
+        "digest", "first", F.coalesce("root", "item").alias("root"))
     heads = rooted.groupBy("root").agg(F.min(F.struct("first", "digest")).alias("head"))
     named = rooted.join(heads, "root").select(
         "digest", F.col("head.first.doc_id").alias("class_id"), F.col("head.digest").alias("first_digest"),
         F.col("head.first.rows").alias("rows"))
     named = stored(named, "near-named")
-    return signed.select("doc_id", "digest").join(_small(named, 100), "digest")
+    return signed.select("doc_id", "digest").join(_small(named, 150), "digest")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 def tiles(members: DataFrame, size: int) -> DataFrame:
-    """``key, digest, class, side, part, i, j`` for members ``key, digest, class`` whose bucket holds more than one class.
+    """``key, item, class, side, part, i, j`` for members ``key, item, class`` whose bucket holds more than one class.
 
     Per bucket the largest class is side 1, all others side 0, both cut into parts of about ``size`` (parts of side 1 have
     negative numbers). Tile (i, j) is to compare part i with part j, (i, i) part i with itself: each pair of members of which
@@ -28,15 +28,15 @@ def tiles(members: DataFrame, size: int) -> DataFrame:
         "key", F.col("most.class").alias("large"), parts(F.col("n") - F.col("most.count")).alias("rest"),
         parts(F.col("most.count")).alias("wide"))
     own = members.join(buckets, "key").withColumn("side", (F.col("class") == F.col("large")).cast("int"))
-    nth = F.pmod(F.xxhash64("digest"), F.when(F.col("side") == 1, F.col("wide")).otherwise(F.col("rest"))).cast("int")
+    nth = F.pmod(F.xxhash64("item"), F.when(F.col("side") == 1, F.col("wide")).otherwise(F.col("rest"))).cast("int")
     own = own.withColumn("part", F.when(F.col("side") == 1, -1 - nth).otherwise(nth))
     each = F.sequence(F.lit(0), F.col("rest") - 1)
     rest = F.transform(each, lambda k: F.struct(F.least(k, "part").alias("i"), F.greatest(k, "part").alias("j")))
     wide = F.transform(F.sequence(F.lit(0), F.col("wide") - 1), lambda k: F.struct(F.col("part").alias("i"), (-1 - k).alias("j")))
     mine = F.transform(each, lambda k: F.struct(k.alias("i"), F.col("part").alias("j")))
     dealt = F.explode(F.when(F.col("side") == 1, mine).otherwise(F.concat(rest, wide))).alias("t")
-    return own.select("key", "digest", "class", "side", "part", dealt).select(
-        "key", "digest", "class", "side", "part", "t.i", "t.j")
+    return own.select("key", "item", "class", "side", "part", dealt).select(
+        "key", "item", "class", "side", "part", "t.i", "t.j")
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:

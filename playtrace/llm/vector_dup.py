@@ -165,7 +165,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         F.count("*").alias("copies"), F.min("vec_id").alias("least"), F.first("values").alias("values")), "vec-distinct")
     points = spark.sparkContext.broadcast(pivots(distinct, distinct.count()))
     lists = stored(listed(distinct, points), "vec-lists")
-    dealt = tiles(lists.select("key", "digest", "class"), TILE)
+    dealt = tiles(lists.select("key", F.col("digest").alias("item"), "class"), TILE).withColumnRenamed("item", "digest")
     dealt = dealt.join(lists.select("key", "digest", "points"), ["key", "digest"])
     found = stored(verified(dealt.join(distinct.select("digest", "copies", "values"), "digest")), "vec-links")
     # a core links all of its vectors with each other
