@@ -158,18 +158,31 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return agg.select(F.get(names, F.col("_i")).alias("feature"), "n", "n_null", "lowest", "highest")
 
 
-def prune_features(features: DataFrame, phase: str, null_ratio: float = 0.9) -> DataFrame:
-    """Catalogue ``level_group, feature, kept, reason``: constant and mostly-null features are not kept.
+def original_names(values: Sequence[CategoryValue]) -> dict[str, str]:
+    """For each column of the wide row that belongs to a category value: the value as it stands in the vocabulary."""
+    return {name: f"{v.column}={v.value}" for v in values for name in stat_names(v)}
 
-    Null counts as one more value: a column of nulls is constant, one value next to nulls is not.
+
+def prune_features(
+    features: DataFrame, phase: str, null_ratio: float = 0.9, originals: dict[str, str] | None = None,
+) -> DataFrame:
+    """Catalogue ``level_group, feature, original, kept, reason``: constant and mostly-null features are not kept.
+
+    ``originals`` maps the names of category features to ``column=value`` as they were before names were made unique
+    (``original_names``); any other feature is its own original. Null counts as one more value: a column of nulls is constant, one value next to nulls is not.
     """
     profile = column_profile(features, feature_columns(features))
     n, missing = F.col("n"), F.col("n_null")
     constant = (missing == n) | ((missing == 0) & (F.col("lowest") == F.col("highest")))
     reason = (F.when(constant, "constant")
               .when(missing / n > null_ratio, "null_ratio"))
+    original = F.col("feature")
+    if originals:
+        named = features.sparkSession.createDataFrame(list(originals.items()), "feature string, _original string")
+        profile = profile.join(F.broadcast(named), "feature", "left")  # at most one row per column
+        original = F.coalesce("_original", "feature")
     return profile.select(
-        F.lit(phase).alias(PHASE), "feature", reason.isNull().alias("kept"), reason.alias("reason"))
+        F.lit(phase).alias(PHASE), "feature", original.alias("original"), reason.isNull().alias("kept"), reason.alias("reason"))
 
 
 def kept_features(catalog: DataFrame, phase: str) -> list[str]:

@@ -48,8 +48,18 @@ def fold_split(labels: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
     return labels.where(F.col("fold") != fold), labels.where(F.col("fold") == fold)
 
 
+def weight_of_class(rows: DataFrame, label: str = "correct", name: str = "weight") -> DataFrame:
+    """``rows`` of one fit with the weight n / (number of classes * rows of the class), from counts of these rows alone."""
+    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
+    total = sum(counts.values())
+    weight = F.lit(None).cast("double")
+    for value, n in counts.items():
+        weight = F.when(F.col(label).eqNullSafe(F.lit(value)), F.lit(total / (len(counts) * n))).otherwise(weight)
+    return rows.withColumn(name, weight)
+
+
 def balanced_weights(labels: DataFrame, label: str = "correct", name: str = "weight") -> DataFrame:
-    """Add the row weight n / (number of classes * rows of the class)."""
+    """Add the row weight n / (number of classes * rows of the class) over all rows; for fits, see ``weight_of_class``."""
     classes = labels.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
     overall = Window.partitionBy(F.lit(0))  # over one row per class
     weights = classes.select(
@@ -59,20 +69,25 @@ def balanced_weights(labels: DataFrame, label: str = "correct", name: str = "wei
 
 
 def join_features(labels: DataFrame, features: DataFrame, strict: bool = False) -> DataFrame:
-    """Features of each label's session. ``strict`` fails if a label has none, counting before the join."""
-    feats = features.withColumnRenamed(SESSION, "session").drop(PHASE)
-    if strict:
-        lost = labels.join(feats.select("session"), "session", "left_anti").limit(1).count()
-        if lost:
-            raise ValueError("labels without features")
-    return labels.drop(SESSION).join(feats, "session")
-
+    """Features of each label's session, and of its phase where both tables have one.
 
-def label_lists(labels: DataFrame) -> DataFrame:
-    """Per session the list of labels in question order. At most one entry per question."""
+    ``strict`` fails, while the join runs, at a label that has none.
+    """
+    on = ["session", *([PHASE] if PHASE in labels.columns and PHASE in features.columns else [])]
+    feats = features.withColumnRenamed(SESSION, "session")
+    feats = feats if PHASE in on else feats.drop(PHASE)
+    if not strict:
+        return labels.drop(SESSION).join(feats, on)
+    found = labels.drop(SESSION).join(feats.withColumn("_found", F.lit(True)), on, "left")
+    lost = F.raise_error(F.concat(F.lit("label without features: session "), F.col("session").cast("string")))
+    return found.where(F.when(F.col("_found").isNull(), lost.cast("boolean")).otherwise(True)).drop("_found")
+
+
+def label_lists(labels: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per session (and ``by``) the list of labels in question order. At most one entry per question."""
     rows = F.sort_array(F.collect_list(F.struct("level", "correct")))
-    return labels.groupBy("session").agg(rows.alias("_rows")).select(
-        F.col("session").alias(SESSION), F.col("_rows.correct").alias("correct"))
+    return labels.groupBy("session", *by).agg(rows.alias("_rows")).select(
+        F.col("session").alias(SESSION), *by, F.col("_rows.correct").alias("correct"))
 
 
 def sample_sessions(events: DataFrame, sample: DataFrame) -> DataFrame:
@@ -88,5 +103,11 @@ def session_phase_grid(events: DataFrame, phases: Sequence[str]) -> DataFrame:
 
 
 def align_models(oof: DataFrame, models: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Predictions of several models side by side, joined by key and never by position."""
-    return oof.groupBy(*keys).pivot("model", list(models)).agg(F.max("p"))
+    """Predictions of several models side by side, joined by key and never by position.
+
+    Two predictions of one model for one key are an error, raised while the query runs.
+    """
+    twice = F.raise_error(F.lit("a model has two predictions for one key")).cast("double")
+    one = oof.groupBy(*keys, "model").agg(F.count(F.lit(1)).alias("_n"), F.max("p").alias("p"))
+    one = one.withColumn("p", F.when(F.col("_n") > 1, twice).otherwise(F.col("p")))
+    return one.groupBy(*keys).pivot("model", list(models)).agg(F.max("p"))

@@ -92,6 +92,14 @@ def extent_distribution(events: DataFrame, column: str) -> DataFrame:
     return session_extent(events).groupBy(column).agg(F.count(F.lit(1)).alias("n_sessions"))
 
 
+def extent_distributions(events: DataFrame) -> DataFrame:
+    """``measure, value, n_sessions`` of all extent columns, from one pass over the events."""
+    extent = session_extent(events)
+    measures = [c for c in extent.columns if c != SESSION]
+    tall = extent.select(F.inline(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in measures])))
+    return tall.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n_sessions"))
+
+
 def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
     """Counts in equal bins between minimum and maximum; the last bin includes the maximum. Empty bins are listed."""
     x = F.col(column).cast("double")

@@ -122,15 +122,28 @@ def first_seen_order(events: DataFrame, keys: Sequence[str] = (SESSION,), row_id
     return events.groupBy(*keys).agg(F.min(row_id).alias("first_seen")).orderBy("first_seen")
 
 
-def session_sequences(
-    events: DataFrame, columns: Sequence[str], keys: Sequence[str] = (SESSION,), max_len: int = 100_000, hot=CHECK,
-) -> DataFrame:
-    """Ordered lists of ``columns`` per key, in segments of ``max_len`` events.
+def session_sequences(events: DataFrame, columns: Sequence[str], keys: Sequence[str] = (SESSION,)) -> DataFrame:
+    """Ordered lists of ``columns`` per key: one row per key, however long.
 
-    All but very long sessions are one row with ``segment`` 0; a longer one continues in segments 1, 2, ...
-    so that no list grows with the table.
+    A list is one value in one task. Where a session may be too long for that, use ``last_values`` or ``session_segments``.
     """
     keys = list(keys)
+    rows = F.sort_array(F.collect_list(F.struct(*EVENT_ORDER, F.struct(*columns).alias("_v"))))
+    out = events.groupBy(*keys).agg(rows.alias("_rows"))
+    return out.select(*keys, *[F.col(f"_rows._v.{c}").alias(c) for c in columns])
+
+
+def last_values(events: DataFrame, columns: Sequence[str], n: int, keys: Sequence[str] = (SESSION,)) -> DataFrame:
+    """Ordered lists of the last ``n`` events of each key; only these are collected."""
+    return session_sequences(tail_n(events, n, keys), columns, keys)
+
+
+def session_segments(
+    events: DataFrame, columns: Sequence[str], max_len: int, keys: Sequence[str] = (SESSION,), hot=CHECK,
+) -> DataFrame:
+    """Ordered lists in segments of ``max_len`` events: ``segment`` 0, 1, ... is part of the key of the result, and no list
+    grows with the table."""
+    keys = list(keys)
     numbered = with_row_number(events, keys, EVENT_ORDER, "_rn", hot=hot)
     cut = numbered.withColumn("segment", F.floor((F.col("_rn") - 1) / max_len).cast("int"))
     rows = F.sort_array(F.collect_list(F.struct("_rn", *columns)))

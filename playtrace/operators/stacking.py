@@ -6,10 +6,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playtrace.functions.arrays import dot
+from playtrace.plans.skew import bounded_broadcast
 
 
 def fold_moments(
@@ -29,9 +30,8 @@ def fold_moments(
 def train_moments(moments: DataFrame, by: Sequence[str] = ("level",), fold: str = "fold") -> DataFrame:
     """Moments of all folds but one: the group's total minus the fold."""
     sums = [c for c in moments.columns if c not in (*by, fold)]
-    totals = moments.groupBy(*by).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    both = moments.join(totals, list(by))
-    return both.select(*by, fold, *[(F.col(f"_t_{c}") - F.col(c)).alias(c) for c in sums])
+    group = Window.partitionBy(*by)  # one row per fold: the moments are computed once
+    return moments.select(*by, fold, *[(F.sum(c).over(group) - F.col(c)).alias(c) for c in sums])
 
 
 def ridge_coefficients(
@@ -76,9 +76,10 @@ def apply_stack(
 ) -> DataFrame:
     """Score rows with the coefficients that match their ``keys``.
 
-    There is one coefficient row per level and fold, so Spark broadcasts them by size.
+    There is one coefficient row per level and fold: they are broadcast after counting, so scores are not shuffled on a
+    few keys.
     """
-    side = coefs.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "intercept", "coef")
+    side = bounded_broadcast(coefs.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "intercept", "coef"))
     on = [rows[k] == F.col(f"_k_{k}") for k in keys]
     features = F.array(*[F.col(c).cast("double") for c in inputs])
     return (rows.join(side, on)
@@ -91,7 +92,7 @@ def ensemble_score(
     keys: Sequence[str] = ("session", "level"),
 ) -> DataFrame:
     """From one row per (key, model, fold): mean over folds, stack, mean over the stackers, then threshold."""
-    blended = predictions.groupBy(*keys).pivot("model", list(models)).agg(F.avg("p"))
+    blended = predictions.groupBy(*keys).pivot("model", list(models)).agg(F.avg("p"))  # the mean over the folds
     stacked = apply_stack(blended, coefs, models, ["level"], "_p")
     score = stacked.groupBy(*keys).agg(F.avg("_p").alias("p"))
     return score.withColumn("correct", (F.col("p") >= threshold).cast("int"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -19,6 +19,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playtrace.operators.labels import weight_of_class
 from playtrace.operators.metrics import log_loss
 from playtrace.schema import KEYS, SESSION
 
@@ -32,18 +33,19 @@ ESTIMATORS: dict[str, Callable[..., Estimator]] = {
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """A named model: estimator, parameters (with per-question overrides), and the features it leaves out."""
+    """A named model: estimator, parameters (with per-question overrides), and the features it leaves out, by name or place."""
 
     name: str
     estimator: str = "gbt"
     params: dict = field(default_factory=dict)
     level_params: dict[int, dict] = field(default_factory=dict)
-    dropped: dict[int, Sequence[int]] = field(default_factory=dict)
+    dropped: dict[int, Sequence[int | str]] = field(default_factory=dict)
     balanced: bool = False
     early_stop: bool = False
 
-    def pipeline(self, level: int, n_features: int) -> Pipeline:
-        out = set(self.dropped.get(level, ()))
+    def pipeline(self, level: int, n_features: int, names: Sequence[str] = ()) -> Pipeline:
+        place = {name: i for i, name in enumerate(names)}
+        out = {place[x] if isinstance(x, str) else x for x in self.dropped.get(level, ()) if not isinstance(x, str) or x in place}
         kept = [i for i in range(n_features) if i not in out]
         settings = {**self.params, **self.level_params.get(level, {})}
         learner = ESTIMATORS[self.estimator](labelCol="correct", featuresCol="kept", **settings)
@@ -82,10 +84,12 @@ def _side_by_side(spark: SparkSession, jobs: Sequence, work: Callable, paralleli
 
 def fit_levels(
     rows: DataFrame, spec: ModelSpec, levels: Sequence[int], folds: Sequence[int], parallelism: int = 4,
+    names: Sequence[str] = (),
 ) -> dict[tuple[int, int], PipelineModel]:
     """Independent fits, several at a time; each is itself a distributed job over its question's rows.
 
-    With early stopping the held-out fold decides when to stop (it is marked, not trained on).
+    With early stopping the held-out fold decides when to stop (it is marked, not trained on). Balanced weights come from
+    the rows that a fit trains on.
     """
     n_features = _width(rows)
 
@@ -93,8 +97,14 @@ def fit_levels(
         level, fold = job
         mine = rows.where(F.col("level") == level)
         held_out = F.col("fold") == fold
-        train = mine.withColumn("is_valid", held_out) if spec.early_stop else mine.where(~held_out)
-        return spec.pipeline(level, n_features).fit(train)
+        train = mine.where(~held_out)
+        if spec.balanced:
+            train = weight_of_class(train)
+        if spec.early_stop:
+            valid = mine.where(held_out).drop("weight")
+            valid = valid.withColumn("weight", F.lit(1.0)) if "weight" in train.columns else valid
+            train = train.withColumn("is_valid", F.lit(False)).unionByName(valid.withColumn("is_valid", F.lit(True)))
+        return spec.pipeline(level, n_features, names).fit(train)
 
     jobs = [(level, fold) for level in levels for fold in folds]
     return dict(zip(jobs, _side_by_side(rows.sparkSession, jobs, fit, parallelism)))
@@ -109,22 +119,36 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def oof_predict(rows: DataFrame, models: dict[tuple[int, int], PipelineModel], name: str) -> DataFrame:
-    """Predictions of each model on its held-out fold: ``session, level, fold, model, y, p``."""
+    """Predictions of each model on its held-out fold: ``session, level, fold, model, y, p``.
+
+    A question's rows are read once and pass through all of its folds' models, each of which answers for its own fold.
+    """
     parts = []
-    for (level, fold), model in models.items():
-        held_out = rows.where((F.col("level") == level) & (F.col("fold") == fold))
-        parts.append(predicted(model, held_out).select(
-            "session", "level", "fold", F.lit(name).alias("model"), F.col("correct").alias("y"), "p"))
+    for level in dict.fromkeys(level for level, _ in models):
+        own = {fold: model for (at, fold), model in models.items() if at == level}
+        scored = _chained(rows.where((F.col("level") == level) & F.col("fold").isin(list(own))), list(own.values()))
+        p = reduce(lambda rest, k: F.when(F.col("fold") == k[1], F.col(f"_p{k[0]}")).otherwise(rest), enumerate(own), F.lit(None).cast("double"))
+        parts.append(scored.select("session", "level", "fold", F.lit(name).alias("model"), F.col("correct").alias("y"), p.alias("p")))
     return _union(parts)
 
 
+def _chained(rows: DataFrame, models: Sequence[Model]) -> DataFrame:
+    """``rows`` with the probability of each model as ``_p0, _p1, ...``: one pass over the rows for all models."""
+    keep = list(rows.columns)
+    for k, model in enumerate(models):
+        rows = predicted(model, rows).withColumnRenamed("p", f"_p{k}")
+        keep.append(f"_p{k}")
+        rows = rows.select(*keep)
+    return rows
+
+
 def predict_all_folds(vectors: DataFrame, models: dict[tuple[int, int], PipelineModel], name: str) -> DataFrame:
-    """Predictions of every fold's model for new sessions: ``session, level, fold, model, p``."""
-    rows = vectors.withColumnRenamed(SESSION, "session")
-    return _union([
-        predicted(model, rows).select(
-            "session", F.lit(level).alias("level"), F.lit(fold).alias("fold"), F.lit(name).alias("model"), "p")
-        for (level, fold), model in models.items()])
+    """Predictions of every fold's model for new sessions: ``session, level, fold, model, p``. The vectors are read once."""
+    scored = _chained(vectors.withColumnRenamed(SESSION, "session"), list(models.values()))
+    answers = F.array(*[
+        F.struct(F.lit(level).alias("level"), F.lit(fold).alias("fold"), F.col(f"_p{k}").alias("p"))
+        for k, (level, fold) in enumerate(models)])
+    return scored.select("session", F.inline(answers)).withColumn("model", F.lit(name)).select("session", "level", "fold", "model", "p")
 
 
 def gains(
@@ -163,7 +187,27 @@ def drop_column_selection(
         table, "level int, feature string, baseline double, log_loss double, `drop` boolean")
 
 
-# The ranges that are searched.
+def apply_selection(spec: ModelSpec, selection: DataFrame) -> ModelSpec:
+    """``spec`` without the features that ``drop_column_selection`` marked, in addition to those it leaves out already."""
+    out = {level: list(found) for level, found in spec.dropped.items()}
+    for row in selection.where("`drop`").select("level", "feature").collect():  # at most one row per level and feature
+        out.setdefault(row["level"], []).append(row["feature"])
+    return replace(spec, dropped=out)
+
+
+def apply_search(spec: ModelSpec, trials: DataFrame) -> ModelSpec:
+    """``spec`` with the parameters of the best trial of each question that ``hyperparam_search`` has looked at."""
+    out = dict(spec.level_params)
+    for row in trials.where("best").select("level", "params").collect():  # one row per level
+        own = {k: int(v) if k in ("maxIter", "maxDepth") else v for k, v in row["params"].items()}
+        if "featureSubset" in own:
+            own["featureSubsetStrategy"] = f"{own.pop('featureSubset'):.6f}"
+        out[row["level"]] = {**out.get(row["level"], {}), **own}
+    return replace(spec, level_params=out)
+
+
+# The ranges that are searched. Two more dimensions of gradient boosting libraries, the L1 and L2 penalties on leaf
+# weights, have no counterpart in the learners of ``pyspark.ml`` and are not searched.
 SEARCH_SPACE = {
     "stepSize": ("log", 0.02, 0.1), "maxIter": ("int", 100, 700), "maxDepth": ("int", 3, 10),
     "subsamplingRate": ("uniform", 0.4, 0.8), "featureSubset": ("uniform", 0.2, 0.6),

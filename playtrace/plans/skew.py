@@ -10,19 +10,21 @@ Both ways give the same rows.
 from __future__ import annotations
 
 import math
-import tempfile
 from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from playtrace.sources.storage import shared_root
+
 #: Rows of one key that a single task may still sort, collect into an array, or count by value.
 HOT_ROWS = 200_000
 #: Rows of a chunk: a task's share of the hot keys, which it only sorts and streams through.
 CHUNK_ROWS = 5_000_000
-#: Most keys that are sent to every task as a broadcast side.
+#: Most rows, and most bytes of them, that are sent to every task as a broadcast side.
 BROADCAST_KEYS = 1_000_000
+BROADCAST_BYTES = 128 << 20
 
 CHUNK = "_chunk"
 
@@ -36,11 +38,7 @@ CHECK = _Check()
 
 def reliable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: stable rows, no lineage to redo."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    shared_root(df.sparkSession)
     return df.checkpoint()
 
 
@@ -53,9 +51,11 @@ def find_hot(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> Da
     return reliable(hot)
 
 
-def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_KEYS) -> DataFrame:
-    """Broadcast hint, given only after counting; a larger side keeps Spark's own choice of join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def bounded_broadcast(df: DataFrame, rows: int = BROADCAST_KEYS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint, given only after counting rows and bytes; a larger side keeps Spark's own choice of join."""
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    n, total = df.select(F.octet_length(text).alias("_b")).limit(rows + 1).agg(F.count(F.lit(1)), F.sum("_b")).first()
+    return F.broadcast(df) if n <= rows and (total or 0) <= size else df
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtrace.operators import labels as L
 from playtrace.operators.features import (
-    carry_forward, feature_columns, kept_features, prune_features, select_features, session_features,
+    carry_forward, feature_columns, kept_features, original_names, prune_features, select_features, session_features,
+    wide_values,
 )
 from playtrace.operators.metrics import best_threshold, threshold_sweep
-from playtrace.operators.stacking import apply_stack, ridge_stack
-from playtrace.operators.training import ModelSpec, feature_vector, fit_levels, model_rows, oof_predict
+from playtrace.operators.modelsel import mean_importance, top_half
+from playtrace.operators.stacking import apply_stack, ensemble_score, ridge_stack
+from playtrace.operators.training import (
+    ModelSpec, feature_vector, fit_levels, gains, model_rows, oof_predict, predict_all_folds,
+)
 from playtrace.operators.vocab import build_vocab
 from playtrace.plans.skew import CHECK
 from playtrace.schema import PHASE, PHASES
 from playtrace.sources import tables as S
-from playtrace.sources.models import save_models
+from playtrace.sources.models import load_models, save_models
 
 
 @dataclass(frozen=True)
@@ -28,8 +33,45 @@ class Layout:
 
     root: str
 
-    def __getattr__(self, name: str) -> str:
-        return f"{self.root}/{name}"
+    @property
+    def vocab(self) -> str:
+        return f"{self.root}/vocab"
+
+    @property
+    def features(self) -> str:
+        return f"{self.root}/features"
+
+    @property
+    def catalog(self) -> str:
+        return f"{self.root}/catalog"
+
+    @property
+    def carried(self) -> str:
+        return f"{self.root}/carried"
+
+    @property
+    def labels(self) -> str:
+        return f"{self.root}/labels"
+
+    @property
+    def rows(self) -> str:
+        return f"{self.root}/rows"
+
+    @property
+    def models(self) -> str:
+        return f"{self.root}/models"
+
+    @property
+    def oof(self) -> str:
+        return f"{self.root}/oof"
+
+    @property
+    def stackers(self) -> str:
+        return f"{self.root}/stackers"
+
+    @property
+    def scores(self) -> str:
+        return f"{self.root}/scores"
 
 
 def prepare_features(events: DataFrame, out: Layout, hot=CHECK, null_ratio: float = 0.9) -> dict[str, list[str]]:
@@ -42,7 +84,8 @@ def prepare_features(events: DataFrame, out: Layout, hot=CHECK, null_ratio: floa
         S.write_features(session_features(events, phase, vocab, hot=hot), f"{out.features}/phase={i}")
         features = S.read_table(spark, f"{out.features}/phase={i}")
         catalog_path = f"{out.catalog}/phase={i}"
-        S.write_table(prune_features(features, phase, null_ratio), catalog_path)
+        originals = original_names(wide_values(vocab, phase))
+        S.write_table(prune_features(features, phase, null_ratio, originals), catalog_path)
         pruned[phase] = select_features(features, kept_features(S.read_table(spark, catalog_path), phase))
     names = {}
     for phase, carried in carry_forward(pruned).items():
@@ -51,15 +94,40 @@ def prepare_features(events: DataFrame, out: Layout, hot=CHECK, null_ratio: floa
     return names
 
 
+def best_scores(oof: DataFrame, scope: str, y: str = "y", p: str = "p") -> DataFrame:
+    """``scope, level, threshold, score``: the best threshold of each question, and (level null) over all of them."""
+    by_level = best_threshold(threshold_sweep(oof, ["level"], y=y, p=p), ["level"])
+    over_all = best_threshold(threshold_sweep(oof, y=y, p=p)).withColumn("level", F.lit(None).cast("int"))
+    columns = [F.lit(scope).alias("scope"), F.col("level").cast("int").alias("level"), "threshold", "score"]
+    return by_level.select(*columns).unionByName(over_all.select(*columns))
+
+
+def without_lower_half(spec: ModelSpec, importance: DataFrame, names: Sequence[str], levels: Sequence[int]) -> ModelSpec:
+    """The variant ``<name>_half`` of a model that leaves out all but the half of the features with the largest mean gain."""
+    kept: dict[int, set[str]] = {level: set() for level in levels}
+    for row in top_half(importance).select("level", "feature").collect():  # at most one row per level and feature
+        kept[row["level"]].add(row["feature"])
+    dropped = {level: [n for n in names if n not in own] for level, own in kept.items() if own}
+    return replace(spec, name=f"{spec.name}_half", dropped=dropped)
+
+
+def model_names(specs: Sequence[ModelSpec], halved: Sequence[str] = ()) -> list[str]:
+    """The models of a run: each spec, and its half where asked for."""
+    return [n for s in specs for n in ([s.name, f"{s.name}_half"] if s.name in halved else [s.name])]
+
+
 def train(
     events: DataFrame, labels: DataFrame, specs: Sequence[ModelSpec], out: Layout, levels: Sequence[int],
-    n_folds: int = 5, seed: int = 42, parallelism: int = 4, hot=CHECK,
+    n_folds: int = 5, seed: int = 42, parallelism: int = 4, hot=CHECK, halved: Sequence[str] = (),
 ) -> DataFrame:
-    """Run every step and return the scores table ``scope, threshold, score`` (each model, and the stack)."""
+    """Run every step and return the scores table ``scope, level, threshold, score`` (each model, and the stack).
+
+    The models named in ``halved`` are fitted a second time with the half of their features that had the largest gain.
+    """
     spark: SparkSession = events.sparkSession
     parsed = L.assign_phase(L.parse_labels(labels)).where(F.col("level").isin(list(levels)))
     parsed = parsed.join(L.group_folds(parsed, k=n_folds, seed=seed), "session")
-    S.write_folds(L.balanced_weights(parsed), out.labels)
+    S.write_folds(parsed, out.labels)
     parsed = S.read_table(spark, out.labels)
     names = prepare_features(events, out, hot)
     for i, phase in enumerate(PHASES):
@@ -71,18 +139,58 @@ def train(
         rows_path = f"{out.rows}/phase={i}"
         S.write_table(model_rows(mine, vectors), rows_path, ["level"])
         rows = S.read_table(spark, rows_path)
-        for spec in specs:
-            models = fit_levels(rows, spec, asked, range(n_folds), parallelism)
+
+        def fit(spec: ModelSpec):
+            models = fit_levels(rows, spec, asked, range(n_folds), parallelism, names[phase])
             save_models(models, out.models, spec.name)
             S.write_table(oof_predict(rows, models, spec.name), f"{out.oof}/model={spec.name}/phase={i}")
-    oof = S.read_table(spark, out.oof)
-    by_model = best_threshold(threshold_sweep(oof, ["model"]), ["model"])
-    S.append_scores(by_model.select(F.col("model").alias("scope"), "threshold", "score"), out.scores)
+            return models
 
-    inputs = [s.name for s in specs]
+        for spec in specs:
+            models = fit(spec)
+            if spec.name in halved:
+                fit(without_lower_half(spec, mean_importance(gains(models, names[phase], spark)), names[phase], asked))
+    oof = S.read_table(spark, out.oof)
+    inputs = model_names(specs, halved)
+    for name in inputs:
+        S.append_scores(best_scores(oof.where(F.col("model") == name), name), out.scores)
     aligned = L.align_models(oof, inputs, ["session", "level", "fold", "y"])
     S.write_table(ridge_stack(aligned, inputs), out.stackers)
     stacked = apply_stack(aligned, S.read_table(spark, out.stackers), inputs, ["level", "fold"])
-    best = best_threshold(threshold_sweep(stacked))
-    S.append_scores(best.select(F.lit("stack").alias("scope"), "threshold", "score"), out.scores)
+    S.append_scores(best_scores(stacked, "stack"), out.scores)
     return S.read_table(spark, out.scores)
+
+
+class StoredRun:
+    """A finished run, read back: features as its vocabulary and catalogue have them, models, stackers and the threshold."""
+
+    def __init__(self, spark: SparkSession, out: Layout, models: Sequence[str], n_folds: int = 5):
+        self.out, self.models, self.n_folds = out, list(models), n_folds
+        self.vocab = S.read_table(spark, out.vocab)
+        self.kept = {p: kept_features(S.read_table(spark, f"{out.catalog}/phase={i}"), p) for i, p in enumerate(PHASES)}
+        self.names = {p: feature_columns(S.read_table(spark, f"{out.carried}/phase={i}")) for i, p in enumerate(PHASES)}
+        asked = S.read_table(spark, out.labels).select(PHASE, "level").distinct().collect()  # one row per question
+        self.levels = {p: sorted(r["level"] for r in asked if r[PHASE] == p) for p in PHASES}
+        stack = S.read_table(spark, out.scores).where((F.col("scope") == "stack") & F.col("level").isNull())
+        self.threshold = stack.first()["threshold"]
+        self.loaded: dict[str, dict] = {}
+
+    def features(self, events: DataFrame, phase: str, hot=CHECK) -> DataFrame:
+        """The run's features of one phase for new events."""
+        return select_features(session_features(events, phase, self.vocab, hot=hot), self.kept[phase])
+
+    def predict(self, carried: DataFrame, phase: str) -> DataFrame:
+        """``session, level, p, correct`` for carried rows of one phase: the mean of all folds, stacked, over the threshold."""
+        if phase not in self.loaded:
+            keys = [(level, fold) for level in self.levels[phase] for fold in range(self.n_folds)]
+            self.loaded[phase] = {m: load_models(self.out.models, m, keys) for m in self.models}
+        vectors = feature_vector(carried, self.names[phase])
+        parts = [predict_all_folds(vectors, models, name) for name, models in self.loaded[phase].items()]
+        stackers = S.read_table(carried.sparkSession, self.out.stackers)
+        return ensemble_score(reduce(DataFrame.unionByName, parts), stackers, self.models, self.threshold)
+
+
+def score(run: StoredRun, events: DataFrame, hot=CHECK) -> DataFrame:
+    """Predictions of a stored run for all sessions of an event log, in batch."""
+    carried = carry_forward({p: run.features(events, p, hot) for p in PHASES})
+    return reduce(DataFrame.unionByName, [run.predict(carried[p], p) for p in PHASES if run.levels[p]])

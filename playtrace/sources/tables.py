@@ -6,18 +6,44 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from playtrace.schema import EVENT_SCHEMA, LABEL_SCHEMA, PHASE
 
 
-def read_events_csv(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Event log from CSV with a declared schema (no inference pass), optionally only some rows for debugging."""
-    df = spark.read.schema(EVENT_SCHEMA).option("header", True).csv(path)
+#: The column that holds the text of a row that does not fit the schema.
+REJECTED = "_rejected"
+
+
+def _csv(spark: SparkSession, path: str, schema: StructType, multiline: bool, mode: str) -> DataFrame:
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multiline)
+    if mode == "REJECTS":
+        whole = StructType([*schema.fields, StructField(REJECTED, StringType())])
+        return reader.schema(whole).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED).csv(path)
+    return reader.schema(schema).option("mode", mode).csv(path)
+
+
+def read_events_csv(
+    spark: SparkSession, path: str, limit: int | None = None, multiline: bool = False, mode: str = "FAILFAST",
+) -> DataFrame:
+    """Event log from CSV with a declared schema (no inference pass), optionally only some rows for debugging.
+
+    Quotes inside quoted fields are doubled. ``multiline`` allows line breaks in them, at the price that a file is no longer
+    split among tasks. A row that does not fit the schema is an error; with ``mode="REJECTS"`` it stays, with its text in
+    the column ``_rejected``.
+    """
+    df = _csv(spark, path, EVENT_SCHEMA, multiline, mode)
     return df.limit(limit) if limit is not None else df
 
 
-def read_labels_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LABEL_SCHEMA).option("header", True).csv(path)
+def read_labels_csv(spark: SparkSession, path: str, multiline: bool = False, mode: str = "FAILFAST") -> DataFrame:
+    """Label table from CSV, read as ``read_events_csv`` reads events."""
+    return _csv(spark, path, LABEL_SCHEMA, multiline, mode)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV as the readers above expect it: quotes inside fields doubled."""
+    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def read_table(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
@@ -66,5 +92,10 @@ def write_oof(oof: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def append_scores(scores: DataFrame, path: str) -> None:
-    """Metrics table: ``scope, level, threshold, score``."""
-    write_table(scores, path, mode="append")
+    """Metrics table ``scope, level, threshold, score``; level is null for a score over all questions.
+
+    One folder per scope: writing a scope again replaces its rows, and leaves other scopes alone.
+    """
+    level = F.col("level").cast("int") if "level" in scores.columns else F.lit(None).cast("int")
+    scores.select("scope", level.alias("level"), "threshold", "score").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("scope").parquet(path)

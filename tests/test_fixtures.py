@@ -182,12 +182,47 @@ def test_tables_and_arrival_ids(spark, tmp_path):
     stored = S.read_table(spark, f"{tmp_path}/log")
     assert stored.select("event_id").distinct().count() == 3
     assert S.read_table(spark, f"{tmp_path}/log", 2).count() == 2
-    stored.drop("event_id").select(*[f.name for f in EVENT_SCHEMA.fields]).write.option("header", True).csv(f"{tmp_path}/csv")
+    S.write_csv(stored.drop("event_id").select(*[f.name for f in EVENT_SCHEMA.fields]), f"{tmp_path}/csv")
     assert S.read_events_csv(spark, f"{tmp_path}/csv").schema.names == EVENT_SCHEMA.names
     assert S.read_events_csv(spark, f"{tmp_path}/csv").where("text = 'a, \"b\"'").count() == 1
     assert S.read_events_csv(spark, f"{tmp_path}/csv", 1).count() == 1
 
 
+def test_standard_csv(spark, tmp_path):
+    """Doubled quotes, commas and line breaks in quoted fields, and a row that does not fit the schema."""
+    path = f"{tmp_path}/labels.csv"
+    with open(path, "w") as f:
+        f.write('session_id,correct\n"1_q1",1\n"a ""b"", c\nd_q2",0\n')
+    rows = S.read_labels_csv(spark, path, multiline=True).collect()
+    assert [tuple(r) for r in rows] == [("1_q1", 1), ('a "b", c\nd_q2', 0)]
+    with open(path, "w") as f:
+        f.write("session_id,correct\n1_q1,1\n1_q2,yes\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        S.read_labels_csv(spark, path).collect()
+    rejected = S.read_labels_csv(spark, path, mode="REJECTS").collect()
+    assert [r[S.REJECTED] for r in rejected] == [None, "1_q2,yes"]
+
+
+def test_scores_of_a_scope_are_replaced(spark, tmp_path):
+    for score in (0.5, 0.6):
+        S.append_scores(spark.createDataFrame([("a", 0.1, score)], "scope string, threshold double, score double"), f"{tmp_path}/scores")
+    S.append_scores(spark.createDataFrame([("b", 3, 0.1, 0.2)], "scope string, level int, threshold double, score double"), f"{tmp_path}/scores")
+    rows = S.read_table(spark, f"{tmp_path}/scores").select("scope", "level", "score").orderBy("scope").collect()
+    assert [tuple(r) for r in rows] == [("a", None, 0.6), ("b", 3, 0.2)]
+
+
+def test_two_predictions_for_one_key_are_an_error(spark):
+    twice = spark.createDataFrame([(1, "m", 0.1), (1, "m", 0.2)], "id int, model string, p double")
+    with pytest.raises(Exception, match="two predictions"):
+        L.align_models(twice, ["m"], ["id"]).collect()
+
+
+def test_weights_come_from_the_rows_of_the_fit(spark):
+    rows = spark.createDataFrame([(1,), (1,), (1,), (0,)], "correct int")
+    got = {r["correct"]: r["weight"] for r in L.weight_of_class(rows).collect()}
+    assert got == {1: pytest.approx(4 / 6), 0: pytest.approx(2.0)}
+
+
 def test_whole_words(spark):
     df = spark.createDataFrame([("this",), ("it is",)], "text string")
     assert [r[0] for r in df.select(C.has_word(F.col("text"), "is")).collect()] == [True, True]

@@ -72,7 +72,7 @@ def test_folds_with_a_large_stratum(spark, monkeypatch):
 
 
 def test_long_sequences_continue(spark, log):
-    out = W.session_sequences(log, ["event_id"], max_len=40)
+    out = W.session_segments(log, ["event_id"], 40)
     assert out.agg(F.max(F.size("event_id"))).first()[0] == 40
     flat = out.orderBy(SESSION, "segment").select(SESSION, F.posexplode("event_id").alias("i", "event_id"))
     assert flat.count() == log.count()

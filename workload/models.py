@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from playtrace.functions.arrays import pad_left, pad_right
@@ -13,8 +14,8 @@ from playtrace.operators import stats as A
 from playtrace.operators import training as T
 from playtrace.operators.features import carry_forward, features_long, session_features
 from playtrace.operators.modelsel import mean_importance, top_half
-from playtrace.operators.sessions import session_sequences, with_differences
-from playtrace.plans.training import Layout, train
+from playtrace.operators.sessions import last_values, session_sequences, with_differences
+from playtrace.plans.training import Layout, StoredRun, score, train
 from playtrace.schema import KEYS, PHASE, PHASES, SESSION
 from playtrace.sources import models as SM
 from playtrace.sources import tables as S
@@ -34,29 +35,29 @@ _LISTS = GLOG + (f", seq AS (SELECT session_id, level_group, list(level {_IN_ORD
                  " GROUP BY session_id, level_group)")
 
 
-def level_lists(spark, sf):
-    log, hot = event_log(spark, sf)
-    return session_sequences(log, ["level"], KEYS, hot=hot)
-
-
 @query("pad_left", _LISTS + " SELECT session_id, level_group, array_to_string(list_concat("
        "list_transform(range(greatest(0, 20 - len(a))), lambda x: -1), a[greatest(1, len(a) - 19):len(a)]), ',') AS levels FROM seq")
 def pad_left_query(spark, sf):
-    return level_lists(spark, sf).select(*KEYS, F.array_join(pad_left(F.col("level"), 20, F.lit(-1)), ",").alias("levels"))
+    recent = last_values(event_log(spark, sf)[0], ["level"], 20, KEYS)
+    return recent.select(*KEYS, F.array_join(pad_left(F.col("level"), 20, F.lit(-1)), ",").alias("levels"))
 
 
 @query("pad_right", _LISTS + " SELECT session_id, level_group, array_to_string(list_concat(a,"
        " list_transform(range(greatest(0, 30 - len(a))), lambda x: -1)), ',') AS levels FROM seq")
 def pad_right_query(spark, sf):
-    return level_lists(spark, sf).select(*KEYS, F.array_join(pad_right(F.col("level"), 30, F.lit(-1)), ",").alias("levels"))
+    lists = session_sequences(event_log(spark, sf)[0], ["level"], KEYS)
+    return lists.select(*KEYS, F.array_join(pad_right(F.col("level"), 30, F.lit(-1)), ",").alias("levels"))
 
 
-@query("flatten", GLOG + "SELECT session_id, text, count(*) AS n FROM glog WHERE text IS NOT NULL GROUP BY session_id, text")
+@query("flatten", GLOG + """SELECT session_id, string_agg(text, '|' ORDER BY CASE level_group WHEN '0-4' THEN 0 WHEN '5-12' THEN 1 ELSE 2 END,
+    "index", elapsed_time, event_id) AS texts FROM glog WHERE text IS NOT NULL GROUP BY session_id""")
 def flatten_query(spark, sf):
-    log, hot = event_log(spark, sf)
-    tokens = session_sequences(log.where(F.col("text").isNotNull()), ["text"], hot=hot)
-    return (tokens.select(SESSION, F.explode("text").alias("text"))
-            .groupBy(SESSION, "text").agg(F.count(F.lit(1)).alias("n")))
+    """The lists of a session's phases, one after another, as one list."""
+    log = event_log(spark, sf)[0].where(F.col("text").isNotNull())
+    lists = session_sequences(log, ["text"], KEYS)
+    number = F.array_position(F.array(*map(F.lit, PHASES)), F.col(PHASE))
+    whole = lists.groupBy(SESSION).agg(F.sort_array(F.collect_list(F.struct(number.alias("i"), "text"))).alias("lists"))
+    return whole.select(SESSION, F.array_join(F.flatten("lists.text"), "|").alias("texts"))
 
 
 _SEQ_N = 20
@@ -69,27 +70,28 @@ def _padded(column: str) -> str:
 
 
 @query("sequence_dataset", "WITH " + LABELS + GLOG.replace("WITH e AS", ", e AS", 1) + VOCAB
-       + ", sz AS (SELECT \"column\", CAST(count(*) AS INT) AS size FROM vocab WHERE level_group = '5-12' GROUP BY \"column\")"
-       + ", t AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY \"index\" DESC, elapsed_time DESC, event_id DESC) AS rn"
-         " FROM glog WHERE level_group = '5-12')"
-       + ", coded AS (SELECT t.session_id, t.\"index\", t.elapsed_time, t.event_id, least(greatest(t.elapsed_time, 0), 3600000) AS time, "
-       + ", ".join(f"CASE WHEN t.{c} IS NULL THEN (SELECT size FROM sz WHERE \"column\" = '{c}') + 1 ELSE v{i}.pos + 1 END AS {c}_id"
-                   for i, c in enumerate(_SEQ_COLUMNS))
+       + ", sz AS (SELECT level_group, \"column\", CAST(count(*) AS INT) AS size FROM vocab GROUP BY level_group, \"column\")"
+       + ", t AS (SELECT *, row_number() OVER (PARTITION BY session_id, level_group ORDER BY \"index\" DESC, elapsed_time DESC, event_id DESC) AS rn"
+         " FROM glog)"
+       + ", coded AS (SELECT t.session_id, t.level_group, t.\"index\", t.elapsed_time, t.event_id, least(greatest(t.elapsed_time, 0), 3600000) AS time, "
+       + ", ".join(f"CASE WHEN t.{c} IS NULL THEN (SELECT size FROM sz WHERE \"column\" = '{c}' AND sz.level_group = t.level_group) + 1"
+                   f" ELSE v{i}.pos + 1 END AS {c}_id" for i, c in enumerate(_SEQ_COLUMNS))
        + " FROM t " + " ".join(
-           f"LEFT JOIN vocab v{i} ON v{i}.level_group = '5-12' AND v{i}.\"column\" = '{c}' AND v{i}.value = CAST(t.{c} AS VARCHAR)"
+           f"LEFT JOIN vocab v{i} ON v{i}.level_group = t.level_group AND v{i}.\"column\" = '{c}' AND v{i}.value = CAST(t.{c} AS VARCHAR)"
            for i, c in enumerate(_SEQ_COLUMNS)) + f" WHERE rn <= {_SEQ_N})"
-       + ", lists AS (SELECT session_id, " + _padded("time") + " AS elapsed_clipped, "
-       + ", ".join(f"{_padded(c + '_id')} AS {c}_id" for c in _SEQ_COLUMNS) + " FROM coded GROUP BY session_id)"
-       + ", ll AS (SELECT session AS session_id, array_to_string(list(correct ORDER BY level), ',') AS correct FROM lab"
-         " WHERE level_group = '5-12' GROUP BY session)"
-         " SELECT ll.session_id, correct, elapsed_clipped, " + ", ".join(f"{c}_id" for c in _SEQ_COLUMNS)
-       + " FROM ll LEFT JOIN lists ON ll.session_id = lists.session_id")
+       + ", lists AS (SELECT session_id, level_group, " + _padded("time") + " AS elapsed_clipped, "
+       + ", ".join(f"{_padded(c + '_id')} AS {c}_id" for c in _SEQ_COLUMNS) + " FROM coded GROUP BY session_id, level_group)"
+       + ", ll AS (SELECT session AS session_id, level_group, array_to_string(list(correct ORDER BY level), ',') AS correct FROM lab"
+         " GROUP BY session, level_group)"
+         " SELECT ll.session_id, ll.level_group, correct, elapsed_clipped, " + ", ".join(f"{c}_id" for c in _SEQ_COLUMNS)
+       + " FROM ll LEFT JOIN lists ON ll.session_id = lists.session_id AND ll.level_group = lists.level_group")
 def sequence_dataset(spark, sf):
     log, _ = event_log(spark, sf)
-    out = Q.sequence_dataset(log, parsed_labels(spark, sf), stored_vocab(spark, log), "5-12", _SEQ_N)
+    vocab, labels = stored_vocab(spark, log), parsed_labels(spark, sf)
+    parts = [Q.sequence_dataset(log, labels, vocab, p, _SEQ_N).withColumn(PHASE, F.lit(p)) for p in PHASES]
     ids = [f"{c}_id" for c in _SEQ_COLUMNS]
-    return out.select(
-        SESSION, F.array_join("correct", ",").alias("correct"),
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select(
+        *KEYS, F.array_join("correct", ",").alias("correct"),
         F.array_join(F.col("elapsed_clipped").cast("array<bigint>"), ",").alias("elapsed_clipped"),
         *[F.array_join(c, ",").alias(c) for c in ids])
 
@@ -105,8 +107,10 @@ _VECTORS = """, norm AS (SELECT vec_id, embedding, sqrt(list_sum(list_transform(
 def _embedding_sql(n: int, weight: str) -> str:
     return GLOG + _VECTORS + (
         f", w AS (SELECT session_id, k, {weight} AS weight FROM tail WHERE tail_rank <= {n})"
-        ", emb AS (SELECT session_id, CAST(i - 1 AS INT) AS dim, sum(weight*x)/sum(weight) AS value"
-        " FROM w JOIN unitv ON unitv.vec_id = w.k GROUP BY session_id, i)")
+        ", emb AS (SELECT w.session_id, CAST(i - 1 AS INT) AS dim, sum(weight*x)/sum(weight) AS value"
+        " FROM w JOIN unitv ON unitv.vec_id = w.k AND w.k % 10 < 4 GROUP BY w.session_id, i"
+        " UNION ALL SELECT session_id, NULL, NULL FROM (SELECT DISTINCT session_id FROM w) WHERE session_id NOT IN"
+        " (SELECT session_id FROM w JOIN embeddings ON vec_id = k WHERE k % 10 < 4))")
 
 
 _RECENCY = "(count(*) OVER (PARTITION BY session_id) - tail_rank + 1)*1.0e0/count(*) OVER (PARTITION BY session_id)"
@@ -114,11 +118,12 @@ _RECENCY = "(count(*) OVER (PARTITION BY session_id) - tail_rank + 1)*1.0e0/coun
 
 def event_embedding(spark, sf, n, weighted):
     log, _ = event_log(spark, sf)
-    return Q.tail_embedding(log, table(spark, sf, "embeddings"), "k", n, weighted, word="vec_id", vector="embedding")
+    known = table(spark, sf, "embeddings").where(F.col("vec_id") % 10 < 4)  # the other tokens are unknown to the model
+    return Q.tail_embedding(log, known, "k", n, weighted, word="vec_id", vector="embedding")
 
 
 def by_dimension(embeddings):
-    return embeddings.select(SESSION, F.posexplode("embedding").alias("dim", "value"))
+    return embeddings.select(SESSION, F.posexplode_outer("embedding").alias("dim", "value"))
 
 
 @query("mean_embedding", _embedding_sql(10, "1.0e0") + " SELECT session_id, dim, " + r("value", "value", 6) + " FROM emb")
@@ -137,18 +142,25 @@ def expand_vector(spark, sf):
     return rounded(Q.expand_vector(event_embedding(spark, sf, 10, False), "embedding", 64, "embedding"), 6)
 
 
-@query("train_embedding")
+@query("train_embedding", GLOG + "SELECT DISTINCT text AS word, 8 AS dims, true AS finite FROM glog WHERE text IS NOT NULL")
 def train_embedding(spark, sf):
+    """Each token has a vector; its numbers come from random starts, so the twin knows their count only."""
     log, hot = event_log(spark, sf)
-    return Q.train_embedding(log, "text", hot=hot).getVectors()
+    vectors = Q.train_embedding(log, "text", hot=hot).getVectors().select("word", vector_to_array("vector").alias("v"))
+    return vectors.select("word", F.size("v").alias("dims"), F.forall("v", lambda x: ~F.isnan(x) & (F.abs(x) < 1e6)).alias("finite"))
 
 
-@query("similar_tokens")
+@query("similar_tokens", GLOG + ", t AS (SELECT DISTINCT room_fqid AS token FROM glog WHERE room_fqid IS NOT NULL)"
+       " SELECT token, least(5, (SELECT count(*) FROM t) - 1) AS n, true AS others, true AS cosine FROM t")
 def similar_tokens(spark, sf):
+    """The nearest tokens of every room; which ones they are depends on the training."""
     log, hot = event_log(spark, sf)
     model = Q.train_embedding(log, "room_fqid", hot=hot)
-    tokens = [x["word"] for x in model.getVectors().select("word").orderBy("word").limit(5).collect()]
-    return Q.similar_tokens(model, tokens, 5)
+    tokens = [x["word"] for x in model.getVectors().select("word").collect()]  # one row per room
+    near = Q.similar_tokens(model, tokens, 5)
+    return near.groupBy("token").agg(
+        F.count_distinct("word").alias("n"), F.bool_and(F.col("word") != F.col("token")).alias("others"),
+        F.bool_and(F.abs("similarity") <= 1.000001).alias("cosine"))
 
 
 _QUERY_IDS = [0, 1, 2, 3, 4]
@@ -170,89 +182,139 @@ def stratified_group_kfold(spark, sf):
     return L.group_folds(parsed_labels(spark, sf))
 
 
-#: Questions that the model queries fit, one per phase; all 18 are a parameter of the library.
-LEVELS = [2, 8, 15]
-N_FOLDS = 2
+LEVELS = list(range(1, 19))
+N_FOLDS = 5
+#: Learners of the model queries: all questions and folds, few and shallow steps.
 SPECS = [
-    T.ModelSpec("gbt", "gbt", {"maxIter": 3, "maxDepth": 3, "seed": 42}, balanced=True),
-    T.ModelSpec("logistic", "logistic", {"maxIter": 20, "regParam": 0.1}),
+    T.ModelSpec("gbt", "gbt", {"maxIter": 2, "maxDepth": 2, "seed": 42}, balanced=True),
+    T.ModelSpec("logistic", "logistic", {"maxIter": 5, "regParam": 0.1}),
 ]
+_ROWS: dict[tuple, tuple] = {}
+_FITS: dict[tuple, dict] = {}
+
+#: Each label with its fold, as ``fl``; follows ``LABELS`` and ``FOLDS``.
+_FOLDED = ", fl AS (SELECT lab.*, folds.fold FROM lab JOIN folds ON folds.session = lab.session)\n"
 
 
 def training_rows(spark, sf):
-    """Rows for the fits, stored by question: numeric statistics of all phases so far."""
-    log, hot = event_log(spark, sf)
-    d = with_differences(log, hot)
-    by_phase = {p: d.where(F.col(PHASE) == p).groupBy(*KEYS).agg(*A.numeric_exprs()) for p in PHASES}
-    features = carry_forward(by_phase)["13-22"]
-    names = T.feature_names(features)
-    labels = L.balanced_weights(parsed_labels(spark, sf))
-    labels = L.with_folds(labels, L.group_folds(labels, k=N_FOLDS))
-    path = scratch(spark, "rows")
-    S.write_table(T.model_rows(labels, T.feature_vector(features, names)), path, ["level"])
+    """Rows for the fits, stored by question: numeric statistics of all phases so far. Made once per session and input."""
+    key = (id(spark), sf)
+    if key not in _ROWS:
+        log, hot = event_log(spark, sf)
+        d = with_differences(log, hot)
+        by_phase = {p: d.where(F.col(PHASE) == p).groupBy(*KEYS).agg(*A.numeric_exprs()) for p in PHASES}
+        features = carry_forward(by_phase)["13-22"]
+        names = T.feature_names(features)
+        labels = parsed_labels(spark, sf)
+        labels = L.with_folds(labels, L.group_folds(labels, k=N_FOLDS))
+        path = scratch(spark, "rows")
+        S.write_table(T.model_rows(labels, T.feature_vector(features, names)), path, ["level"])
+        _ROWS[key] = path, names
+    path, names = _ROWS[key]
     return S.read_table(spark, path), names
 
 
-@query("fit_per_level")
+def fitted(spark, sf, spec):
+    """Models of all questions and folds; queries on the same input share them."""
+    key = (id(spark), sf, spec.name)
+    if key not in _FITS:
+        _FITS[key] = T.fit_levels(training_rows(spark, sf)[0], spec, LEVELS, range(N_FOLDS), 8)
+    return _FITS[key]
+
+
+_EACH_FIT = "SELECT unnest(range(1, 19)) AS level, f.fold FROM (SELECT unnest(range(5)) AS fold) f"
+
+
+@query("fit_per_level", f"SELECT CAST(level AS INT) AS level, CAST(fold AS INT) AS fold, 1.0e0 AS gain, true AS positive FROM ({_EACH_FIT})")
 def fit_per_level(spark, sf):
-    rows, names = training_rows(spark, sf)
-    return T.gains(T.fit_levels(rows, SPECS[0], LEVELS, range(N_FOLDS)), names, spark)
+    """A model for each question and fold, whose features share its gain."""
+    _, names = training_rows(spark, sf)
+    gains = T.gains(fitted(spark, sf, SPECS[0]), names, spark)
+    return rounded(gains.groupBy("level", "fold").agg(F.sum("gain").alias("gain"), F.bool_and(F.col("gain") > 0).alias("positive")), 6)
 
 
-@query("early_stop")
+@query("early_stop", "WITH " + LABELS + FOLDS + _FOLDED
+       + "SELECT level, fold, count(*) AS n, true AS stopped FROM fl WHERE fold = 0 GROUP BY level, fold")
 def early_stop(spark, sf):
+    """The rows of the held-out fold, and whether no more trees were kept than allowed."""
     rows, _ = training_rows(spark, sf)
-    spec = T.ModelSpec("stopped", "gbt", {"maxIter": 8, "maxDepth": 3, "validationTol": 0.05, "seed": 42}, early_stop=True)
-    models = T.fit_levels(rows, spec, LEVELS[:1], [0])
-    trees = [(level, fold, m.stages[1].getNumTrees) for (level, fold), m in models.items()]
-    out = T.oof_predict(rows, models, spec.name)
-    return out.join(F.broadcast(spark.createDataFrame(trees, "level int, fold int, n_trees int")), ["level", "fold"])
+    spec = T.ModelSpec("stopped", "gbt", {"maxIter": 3, "maxDepth": 2, "validationTol": 0.05, "seed": 42}, early_stop=True)
+    models = T.fit_levels(rows, spec, LEVELS, [0], 8)
+    trees = spark.createDataFrame(
+        [(level, fold, m.stages[1].getNumTrees) for (level, fold), m in models.items()], "level int, fold int, n_trees int")
+    out = T.oof_predict(rows, models, spec.name).groupBy("level", "fold").agg(F.count("p").alias("n"))
+    return out.join(F.broadcast(trees), ["level", "fold"]).select("level", "fold", "n", F.col("n_trees").between(1, 3).alias("stopped"))
 
 
-@query("oof_predict")
+@query("oof_predict", "WITH " + LABELS + FOLDS + _FOLDED
+       + "SELECT session, level, fold, 'logistic' AS model, correct AS y, true AS probability FROM fl")
 def oof_predict(spark, sf):
-    rows, _ = training_rows(spark, sf)
-    return T.oof_predict(rows, T.fit_levels(rows, SPECS[1], LEVELS, range(N_FOLDS)), "logistic")
+    """Every label once, in its own fold."""
+    out = T.oof_predict(training_rows(spark, sf)[0], fitted(spark, sf, SPECS[1]), "logistic")
+    return out.select("session", "level", "fold", "model", "y", F.col("p").between(0.0, 1.0).alias("probability"))
 
 
-@query("evaluate_oof", "WITH " + SCORES + GRID + sweep_sql(p="p3")
-       + ", best AS (SELECT max(score) AS score FROM sw) SELECT " + r("sw.score", "score", 9) + ", " + r("min(t)", "threshold", 9)
-       + " FROM sw JOIN best ON sw.score = best.score GROUP BY sw.score")
+@query("evaluate_oof", "WITH " + LABELS + "SELECT level, count(*) AS n, 1 AS n_best, true AS in_range FROM lab GROUP BY level"
+       " UNION ALL SELECT NULL, count(*), 1, true FROM lab")
 def evaluate_oof(spark, sf):
-    return rounded(M.best_threshold(M.threshold_sweep(scores(spark, sf), p="p3")), 9)
-
-
-@query("save_load_models")
+    """Out-of-fold rows, stored by fold and read as one table: the best threshold of each question, and over all of them."""
+    path = scratch(spark, "oof")
+    S.write_oof(T.oof_predict(training_rows(spark, sf)[0], fitted(spark, sf, SPECS[1]), "logistic"), path)
+    oof = S.read_table(spark, path)
+    scores_path = scratch(spark, "scores")
+    by_level = M.best_threshold(M.threshold_sweep(oof, ["level"]), ["level"])
+    over_all = M.best_threshold(M.threshold_sweep(oof))
+    S.append_scores(by_level.select(F.concat(F.lit("logistic/"), F.col("level")).alias("scope"), "level", "threshold", "score"), scores_path)
+    S.append_scores(over_all.select(F.lit("logistic").alias("scope"), "threshold", "score"), scores_path)
+    best = S.read_table(spark, scores_path).groupBy("level").agg(
+        F.count(F.lit(1)).alias("n_best"), F.bool_and(F.col("score").between(0.0, 1.0) & F.col("threshold").between(0.0, 1.0)).alias("in_range"))
+    n = oof.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
+    n = n.unionByName(oof.agg(F.count(F.lit(1)).alias("n")).withColumn("level", F.lit(None).cast("int")))
+    return n.join(best, n["level"].eqNullSafe(best["level"])).select(n["level"], "n", F.col("n_best").cast("int").alias("n_best"), "in_range")
+
+
+@query("save_load_models", "WITH " + LABELS + FOLDS + _FOLDED + "SELECT session, level, fold, true AS same FROM fl WHERE fold = 0")
 def save_load_models(spark, sf):
+    """Stored models answer as the fitted ones do."""
     rows, _ = training_rows(spark, sf)
     path = scratch(spark, "models")
-    models = T.fit_levels(rows, SPECS[1], LEVELS[:2], [0])
+    models = {key: model for key, model in fitted(spark, sf, SPECS[1]).items() if key[1] == 0}  # one fold's
     SM.save_models(models, path, "logistic")
     loaded = SM.load_models(path, "logistic", models)
     before = T.oof_predict(rows, models, "logistic").withColumnRenamed("p", "p_fitted")
     after = T.oof_predict(rows, loaded, "logistic").withColumnRenamed("p", "p_loaded")
-    return before.join(after, ["session", "level", "fold", "model", "y"])
+    both = before.join(after, ["session", "level", "fold", "model", "y"])
+    return both.select("session", "level", "fold", (F.col("p_fitted") == F.col("p_loaded")).alias("same"))
 
 
 @query("gain_selection")
 def gain_selection(spark, sf):
-    rows, names = training_rows(spark, sf)
-    return top_half(mean_importance(T.gains(T.fit_levels(rows, SPECS[0], LEVELS[:2], range(N_FOLDS)), names, spark)))
+    _, names = training_rows(spark, sf)
+    return top_half(mean_importance(T.gains(fitted(spark, sf, SPECS[0]), names, spark)))
 
 
-@query("drop_column_selection")
+@query("drop_column_selection", "SELECT 1 AS level, true AS marked, unnest(["
+       + ", ".join(f"'{c}'" for c in NUMERIC) + "]) AS feature")
 def drop_column_selection(spark, sf):
+    """Every group of a question, marked where leaving it out lowers the loss. Selection goes question by question."""
     rows, names = training_rows(spark, sf)
-    groups = {c: [i for i, n in enumerate(names) if c in n] for c in NUMERIC[:3]}
-    return T.drop_column_selection(rows, names, SPECS[1], LEVELS[:1], 0, groups)
+    groups = {c: [i for i, n in enumerate(names) if c in n] for c in NUMERIC}
+    spec = T.ModelSpec("logistic", "logistic", {"maxIter": 2, "regParam": 0.1})
+    out = T.drop_column_selection(rows, names, spec, LEVELS[:1], 0, groups, 8)
+    return out.select("level", "feature", (F.col("drop") == (F.col("log_loss") < F.col("baseline"))).alias("marked"))
 
 
-@query("hyperparam_search")
+@query("hyperparam_search", "SELECT 1 AS level, 2 AS n_trials, 1 AS n_best, true AS first_maximum")
 def hyperparam_search(spark, sf):
+    """Two trials for a question, as searches go question by question; the best is the first with the largest mean AUC."""
     rows, _ = training_rows(spark, sf)
-    space = {"stepSize": ("log", 0.02, 0.1), "maxIter": ("int", 2, 4), "maxDepth": ("int", 2, 4),
+    space = {"stepSize": ("log", 0.02, 0.1), "maxIter": ("int", 1, 2), "maxDepth": ("int", 1, 2),
              "subsamplingRate": ("uniform", 0.4, 0.8), "featureSubset": ("uniform", 0.2, 0.6)}
-    return T.hyperparam_search(rows, LEVELS[0], 2, space, N_FOLDS)
+    trials = T.hyperparam_search(rows, LEVELS[0], 2, space, N_FOLDS, parallelism=8)
+    best = F.max(F.when(F.col("best"), F.col("auc")))
+    return trials.groupBy("level").agg(
+        F.count(F.lit(1)).cast("int").alias("n_trials"), F.count_if("best").cast("int").alias("n_best"),
+        (best == F.max("auc")).alias("first_maximum"))
 
 
 # Stacking.
@@ -309,12 +371,47 @@ def ensemble_score(spark, sf):
     return rounded(K.ensemble_score(predictions, coefs, _INPUTS, 0.63), 6)
 
 
-@query("train_all")
+_RUN_SPECS = [
+    T.ModelSpec("ridge_low", "logistic", {"maxIter": 2, "regParam": 0.1}, balanced=True),
+    T.ModelSpec("ridge_high", "logistic", {"maxIter": 2, "regParam": 1.0}),
+]
+#: A question of each phase and two folds: a run over all 1,100 columns a phase takes minutes for each question more.
+_RUN_LEVELS, _RUN_FOLDS = [2, 8, 15], 2
+_RUNS: dict[tuple, Layout] = {}
+
+
+def stored_run(spark, sf):
+    """The batch run, once per session and input."""
+    key = (id(spark), sf)
+    if key not in _RUNS:
+        log, hot = event_log(spark, sf)
+        out = Layout(scratch(spark, "run"))
+        train(log, question_labels(spark, sf), _RUN_SPECS, out, _RUN_LEVELS, _RUN_FOLDS, parallelism=8, hot=hot)
+        _RUNS[key] = out
+    return _RUNS[key]
+
+
+@query("train_all", "SELECT scope, CAST(level AS INT) AS level, true AS in_range FROM (SELECT unnest(['ridge_low', 'ridge_high', 'stack']) AS scope)"
+       " CROSS JOIN (SELECT unnest([2, 8, 15]) AS level UNION ALL SELECT NULL)")
 def train_all(spark, sf):
-    """The whole batch run on one question per phase."""
+    """The scores of a run: each model and the stack, each question and over all."""
+    scores_table = S.read_table(spark, stored_run(spark, sf).scores)
+    in_range = F.col("score").between(0.0, 1.0) & F.col("threshold").between(0.0, 1.0)
+    return scores_table.select("scope", "level", in_range.alias("in_range"))
+
+
+#: Every question of the run, of every session whose phase has events.
+_SCORED = "WITH " + LABELS + GLOG.replace("WITH e AS", ", e AS", 1) + (
+    "SELECT session, level, true AS {fact} FROM lab WHERE level IN (2, 8, 15) AND (session, level_group) IN (SELECT session_id, level_group FROM glog)")
+
+
+@query("score_run", _SCORED.format(fact="decided"))
+def score_run(spark, sf):
+    """Predictions of the stored run: vocabulary, catalogue, models, stackers and threshold are read back."""
+    run = StoredRun(spark, stored_run(spark, sf), [s.name for s in _RUN_SPECS], _RUN_FOLDS)
     log, hot = event_log(spark, sf)
-    return train(log, question_labels(spark, sf), SPECS[1:] + [T.ModelSpec("forest", "forest", {"numTrees": 5, "seed": 42})],
-                 Layout(scratch(spark, "run")), LEVELS, N_FOLDS, hot=hot)
+    out = score(run, log, hot)
+    return out.select("session", "level", (F.col("correct") == (F.col("p") >= run.threshold).cast("int")).alias("decided"))
 
 
 # Streams.
@@ -365,14 +462,6 @@ def stream_sink(spark, sf):
     return spark.read.parquet(out).groupBy(PHASE).agg(F.count(F.lit(1)).alias("n"), F.sum("elapsed_time").alias("elapsed"))
 
 
-@query("replay_source", GLOG + "SELECT session_id, level_group, count(*) AS n_events, CAST(1 AS BIGINT) AS n_requests FROM glog"
-       " GROUP BY session_id, level_group")
-def replay_source(spark, sf):
-    _, _, path = replayed(spark, sf, slices=2)
-    rows = spark.read.schema(SF.STREAM_SCHEMA).parquet(path)
-    return rows.groupBy(*KEYS).agg(F.count_if(~F.col("is_request")).alias("n_events"), F.count_if("is_request").alias("n_requests"))
-
-
 def run_stream(spark, sf, featurize_from_log, variant="plain", predict=None):
     own = stream_session(spark)
     log, _, path = replayed(own, sf, variant)
@@ -384,18 +473,15 @@ def run_stream(spark, sf, featurize_from_log, variant="plain", predict=None):
 
 
 @query("stream_features", GLOG + FEATURES_LONG + f"SELECT {SG}, feature, " + r("value", "value", 3)
-       + " FROM feats WHERE value IS NOT NULL AND level_group = '0-4'")
+       + " FROM feats WHERE value IS NOT NULL")
 def stream_features(spark, sf):
     def featurize_from_log(own, log):
         vocab = stored_vocab(own, log)
-
-        def featurize(events, phase):
-            # Other phases get small features here: the query shows one phase in full.
-            return session_features(events, phase, vocab) if phase == "0-4" else A.elapsed_basic(events)
-        return featurize
+        return lambda events, phase: session_features(events, phase, vocab, hot=None)
 
     out, store = run_stream(spark, sf, featurize_from_log)
-    return rounded(features_long(spark.read.parquet(store.folder("0-4")).drop("batch")), 3)
+    parts = [features_long(spark.read.parquet(store.folder(p)).drop("batch")) for p in PHASES]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), 3)
 
 
 _BASIC = ["elapsed_sum", "elapsed_mean", "elapsed_max", "elapsed_min"]
@@ -413,37 +499,13 @@ def stateful_carry_forward(spark, sf):
     return rounded(spark.read.parquet(f"{out}/rows/phase=2").drop("batch", PHASE))
 
 
-def phase_predictor(spark, sf):
-    """Models for one question per phase, each fitted on what a session has shown by then, and their stackers."""
-    log, _ = event_log(spark, sf)
-    by_phase = {p: A.elapsed_basic(log.where(F.col(PHASE) == p)) for p in PHASES}
-    labels = L.with_folds(parsed_labels(spark, sf), L.group_folds(parsed_labels(spark, sf), k=N_FOLDS))
-    specs = [T.ModelSpec("ridge_low", "logistic", {"maxIter": 10, "regParam": 0.1}),
-             T.ModelSpec("ridge_high", "logistic", {"maxIter": 10, "regParam": 1.0})]
-    inputs = [s.name for s in specs]
-    fitted = {}
-    for level, (phase, features) in zip(LEVELS, carry_forward(by_phase).items()):
-        names = T.feature_names(features)
-        path = scratch(spark, "rows")
-        S.write_table(T.model_rows(labels.where(F.col("level") == level), T.feature_vector(features, names)), path)
-        rows = S.read_table(spark, path)
-        models = {s.name: T.fit_levels(rows, s, [level], range(N_FOLDS)) for s in specs}
-        oof = T.oof_predict(rows, models[inputs[0]], inputs[0]).unionByName(T.oof_predict(rows, models[inputs[1]], inputs[1]))
-        coef_path = scratch(spark, "coefs")
-        S.write_table(K.ridge_stack(L.align_models(oof, inputs, ["session", "level", "fold", "y"]), inputs), coef_path)
-        fitted[phase] = (names, models, coef_path)
-
-    def predict(rows, phase):
-        names, models, coef_path = fitted[phase]
-        vectors = T.feature_vector(rows, names)
-        parts = [T.predict_all_folds(vectors, m, name) for name, m in models.items()]
-        return K.ensemble_score(parts[0].unionByName(parts[1]), rows.sparkSession.read.parquet(coef_path), inputs, 0.5)
-
-    return predict
-
-
-@query("stream_score")
+@query("stream_score", _SCORED.format(fact="as_in_batch"))
 def stream_score(spark, sf):
-    out, _ = run_stream(spark, sf, lambda own, log: (lambda events, phase: A.elapsed_basic(events)),
-                        predict=phase_predictor(spark, sf))
-    return spark.read.parquet(f"{out}/predictions").select("session", "level", "p", "correct")
+    """The stored run on the stream gives what it gives in batch."""
+    run = StoredRun(spark, stored_run(spark, sf), [s.name for s in _RUN_SPECS], _RUN_FOLDS)
+    log, hot = event_log(spark, sf)
+    out, _ = run_stream(spark, sf, lambda own, log: (lambda events, phase: run.features(events, phase, None)), predict=run.predict)
+    batch = score(run, log, hot).select("session", "level", F.col("p").alias("_p"), F.col("correct").alias("_correct"))
+    both = spark.read.parquet(f"{out}/predictions").join(batch, ["session", "level"], "left")
+    same = (F.abs(F.col("p") - F.col("_p")) < 1e-9) & (F.col("correct") == F.col("_correct"))
+    return both.select("session", "level", F.coalesce(same, F.lit(False)).alias("as_in_batch"))

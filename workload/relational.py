@@ -12,7 +12,7 @@ from playtrace.operators import stats as A
 from playtrace.operators.features import carry_forward, features_long, prune_features, session_features
 from playtrace.operators.modelsel import mean_importance, top_half
 from playtrace.operators.vocab import build_vocab, encode_columns
-from playtrace.schema import KEYS, LANDMARKS, PHASE, PHASES, SESSION, word_key
+from playtrace.schema import EVENT_SCHEMA, KEYS, LANDMARKS, PHASE, PHASES, SESSION, word_key
 from playtrace.sources import tables as S
 from workload.inputs import event_log, parsed_labels, question_labels, scores, scores_long, table
 from workload.registry import (
@@ -48,25 +48,24 @@ def join_label_features(spark, sf):
     log, _ = event_log(spark, sf)
     features = log.groupBy(*KEYS).agg(
         F.count("index").alias("nrows"), F.sum("elapsed_time").alias("elapsed_time_sum"))
-    labels = parsed_labels(spark, sf)
-    parts = [
-        L.join_features(labels.where(F.col(PHASE) == p), features.where(F.col(PHASE) == p), strict=True) for p in PHASES]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    out = L.join_features(parsed_labels(spark, sf), features, strict=True)
     return out.select("session", "level", PHASE, "correct", "nrows", "elapsed_time_sum")
 
 
 @query("left_join_sequences", "WITH " + LABELS + glog("missing_phase").replace("WITH e AS", ", e AS", 1)
-       + """, seq AS (SELECT session_id, array_to_string(list(CAST(level AS VARCHAR) ORDER BY "index", elapsed_time, event_id), ',') AS levels
-    FROM glog WHERE level_group = '0-4' GROUP BY session_id)
-, ll AS (SELECT session AS session_id, array_to_string(list(CAST(correct AS VARCHAR) ORDER BY level), ',') AS correct
-    FROM lab WHERE level_group = '0-4' GROUP BY session)
-SELECT ll.session_id, correct, levels FROM ll LEFT JOIN seq ON ll.session_id = seq.session_id""")
+       + """, seq AS (SELECT session_id, level_group,
+    array_to_string(list(CAST(level AS VARCHAR) ORDER BY "index", elapsed_time, event_id), ',') AS levels
+    FROM glog GROUP BY session_id, level_group)
+, ll AS (SELECT session AS session_id, level_group, array_to_string(list(CAST(correct AS VARCHAR) ORDER BY level), ',') AS correct
+    FROM lab GROUP BY session, level_group)
+SELECT ll.session_id, ll.level_group, correct, levels
+FROM ll LEFT JOIN seq ON ll.session_id = seq.session_id AND ll.level_group = seq.level_group""")
 def left_join_sequences(spark, sf):
-    log, hot = event_log(spark, sf, "missing_phase")
-    lists = W.session_sequences(log.where(F.col(PHASE) == "0-4"), ["level"], hot=hot)
-    labels = L.label_lists(parsed_labels(spark, sf).where(F.col(PHASE) == "0-4"))
-    return labels.join(lists, SESSION, "left").select(
-        SESSION, F.array_join("correct", ",").alias("correct"), F.array_join("level", ",").alias("levels"))
+    log, _ = event_log(spark, sf, "missing_phase")
+    lists = W.session_sequences(log, ["level"], KEYS)
+    labels = L.label_lists(parsed_labels(spark, sf), [PHASE])
+    return labels.join(lists, KEYS, "left").select(
+        *KEYS, F.array_join("correct", ",").alias("correct"), F.array_join("level", ",").alias("levels"))
 
 
 _BASIC = ["elapsed_sum", "elapsed_mean", "elapsed_max", "elapsed_min"]
@@ -265,14 +264,13 @@ def constant_columns(spark, sf):
     return P.constant_columns(event_log(spark, sf)[0], [*_ALL, "event_id"])
 
 
-@query("collect_sequence", GLOG + "SELECT session_id, CAST(0 AS INT) AS segment,"
+@query("collect_sequence", GLOG + "SELECT session_id,"
        " array_to_string(list(event_name ORDER BY \"index\", elapsed_time, event_id), ',') AS event_name,"
        " array_to_string(list(CAST(level AS VARCHAR) ORDER BY \"index\", elapsed_time, event_id), ',') AS level"
        " FROM glog GROUP BY session_id")
 def collect_sequence(spark, sf):
-    log, hot = event_log(spark, sf)
-    out = W.session_sequences(log, ["event_name", "level"], hot=hot)
-    return out.select(SESSION, "segment", F.array_join("event_name", ",").alias("event_name"),
+    out = W.session_sequences(event_log(spark, sf)[0], ["event_name", "level"])
+    return out.select(SESSION, F.array_join("event_name", ",").alias("event_name"),
                       F.array_join("level", ",").alias("level"))
 
 
@@ -293,7 +291,9 @@ def value_counts(spark, sf):
     return rounded(within.unionByName(overall), 9)
 
 
-_DESCRIBED = ["elapsed_time", "level", "page", "room_coor_x", "screen_coor_y", "hover_duration"]
+# The numeric and the category columns that are profiled.
+_DESCRIBED = ["elapsed_time", "level", "page", "room_coor_x", "room_coor_y", "screen_coor_x", "screen_coor_y", "hover_duration",
+              "fullscreen", "hq", "music"]
 
 
 @query("describe_table", GLOG + ", num AS (" + melt_sql("glog", "1 AS one", _DESCRIBED, lambda c: f"CAST({c} AS DOUBLE)")
@@ -306,15 +306,21 @@ def describe_table(spark, sf):
     return rounded(P.describe_numeric(event_log(spark, sf)[0], _DESCRIBED), 3)
 
 
-_CATS = ["event_name", "name", "text", "fqid", "room_fqid", "text_fqid", "level_group"]
+_CATS = ["event_name", "name", "text", "fqid", "room_fqid", "room_fqid_0", "room_fqid_1", "room_fqid_2", "text_fqid", "level_group"]
+#: The log with the parts of the room as columns of their own, as ``gparts``.
+_PARTS = ", gparts AS (SELECT *, " + ", ".join(f"split_part(room_fqid, '.', {i + 1}) AS room_fqid_{i}" for i in range(3)) + " FROM glog)"
+
 
+def with_room_parts(log):
+    return log.withColumns({f"room_fqid_{i}": F.split_part("room_fqid", F.lit("."), F.lit(i + 1)) for i in range(3)})
 
-@query("describe_categories", GLOG + ", c AS (" + melt_sql("glog", "1 AS one", _CATS, lambda c: c) + ")"
+
+@query("describe_categories", GLOG + _PARTS + ", c AS (" + melt_sql("gparts", "1 AS one", _CATS, lambda c: c) + ")"
        ", n AS (SELECT \"column\", value, count(*) AS n FROM c WHERE value IS NOT NULL GROUP BY \"column\", value)"
        " SELECT \"column\", CAST(sum(n) AS BIGINT) AS count, count(*) AS \"unique\","
        " first(value ORDER BY n DESC, value) AS top, max(n) AS freq FROM n GROUP BY \"column\"")
 def describe_categories(spark, sf):
-    return P.describe_categories(event_log(spark, sf)[0], _CATS)
+    return P.describe_categories(with_room_parts(event_log(spark, sf)[0]), _CATS)
 
 
 @query("column_means", GLOG + " UNION ALL ".join(
@@ -329,11 +335,7 @@ def column_means(spark, sf):
        " UNION ALL SELECT 'min_level', min_level, count(*) FROM x GROUP BY min_level"
        " UNION ALL SELECT 'max_level', max_level, count(*) FROM x GROUP BY max_level")
 def session_extent(spark, sf):
-    log, _ = event_log(spark, sf)
-    parts = [
-        P.extent_distribution(log, c).select(F.lit(c).alias("measure"), F.col(c).alias("value"), "n_sessions")
-        for c in ("max_index", "min_level", "max_level")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return P.extent_distributions(event_log(spark, sf)[0])
 
 
 @query("histogram", GLOG + """, x AS (SELECT least(greatest(elapsed_time, 0), 10000000)/10000.0e0 AS x FROM glog)
@@ -376,12 +378,12 @@ _LABEL_COLUMNS = {"session_id": "string", "correct": "int"}
 @query("table_profile", GLOG + ", ql AS (" + QLABELS + ") "
        + " UNION ALL ".join(
            [f"SELECT 'events' AS \"table\", count(*) AS n_rows, '{c}' AS \"column\", '{t}' AS type, count(\"{c}\") AS non_null FROM glog"
-            for c, t in (("session_id", "bigint"), ("event_name", "string"), ("page", "double"), ("text", "string"), ("hq", "int"))]
+            for c, t in ((f.name, f.dataType.simpleString()) for f in EVENT_SCHEMA.fields)]
            + [f"SELECT 'labels', count(*), '{c}', '{t}', count({c}) FROM ql" for c, t in _LABEL_COLUMNS.items()]))
 def table_profile(spark, sf):
     log, _ = event_log(spark, sf)
     return P.table_profile({
-        "events": log.select(SESSION, "event_name", "page", "text", "hq"), "labels": question_labels(spark, sf)})
+        "events": log.select(*[F.col(f.name).cast(f.dataType) for f in EVENT_SCHEMA.fields]), "labels": question_labels(spark, sf)})
 
 
 @query("distinct_values", GLOG + "SELECT DISTINCT level_group, level FROM glog")
@@ -544,18 +546,15 @@ def limit_rows(spark, sf):
     return W.first_rows(event_log(spark, sf)[0].select("event_id", SESSION), 100, ["event_id"])
 
 
-_TOP = ["event_name", "text", "fqid", "room_fqid", "text_fqid"]
-
-
-@query("top_bottom_values", GLOG + ", c AS (SELECT \"column\", value, count(*) AS n FROM ("
-       + melt_sql("glog", "1 AS one", _TOP, lambda c: c)
+@query("top_bottom_values", GLOG + _PARTS + ", c AS (SELECT \"column\", value, count(*) AS n FROM ("
+       + melt_sql("gparts", "1 AS one", _CATS, lambda c: c)
        + ") WHERE value IS NOT NULL GROUP BY \"column\", value)"
          ", rk AS (SELECT *, row_number() OVER (PARTITION BY \"column\" ORDER BY n DESC, value) AS t,"
          " row_number() OVER (PARTITION BY \"column\" ORDER BY n, value) AS b FROM c)"
          " SELECT \"column\", value, n, CAST(t AS INT) AS rank, 'top' AS side FROM rk WHERE t <= 10"
          " UNION ALL SELECT \"column\", value, n, CAST(b AS INT), 'bottom' FROM rk WHERE b <= 10")
 def top_bottom_values(spark, sf):
-    return P.top_bottom_values(event_log(spark, sf)[0], _TOP)
+    return P.top_bottom_values(with_room_parts(event_log(spark, sf)[0]), _CATS)
 
 
 @query("first_seen_order", GLOG + "SELECT session_id, min(event_id) AS first_seen FROM glog GROUP BY session_id ORDER BY first_seen")
@@ -567,22 +566,19 @@ def first_seen_order(spark, sf):
 
 @query("union_folds", "WITH " + SCORES + "SELECT id, fold, y, " + r("p1", "p", 9) + " FROM s")
 def union_folds(spark, sf):
-    s = scores(spark, sf).select("id", "fold", "y", F.col("p1").alias("p"))
-    folds = [s.where(F.col("fold") == k) for k in range(5)]
-    out = folds[0]
-    for part in folds[1:]:
-        out = out.unionByName(part)
-    return rounded(out, 9)
+    """Folds are folders of one table: reading it is their union, in one scan."""
+    path = scratch(spark, "folds")
+    S.write_folds(scores(spark, sf).select("id", "fold", "y", F.col("p1").alias("p")), path)
+    return rounded(S.read_table(spark, path).withColumn("fold", F.col("fold").cast("long")).select("id", "fold", "y", "p"), 9)
 
 
-@query("session_overlap", GLOG + ", lhs AS (SELECT DISTINCT session_id FROM glog WHERE level_group = '0-4' AND page = 0)"
-       ", rhs AS (SELECT DISTINCT session_id FROM glog WHERE level_group = '13-22' AND page = 0)"
+@query("session_overlap", glog("missing_phase") + ", lhs AS (SELECT DISTINCT session_id FROM glog WHERE level_group = '0-4')"
+       ", rhs AS (SELECT DISTINCT session_id FROM glog WHERE level_group = '13-22')"
        " SELECT (SELECT count(*) FROM lhs) AS n_left, (SELECT count(*) FROM rhs) AS n_right,"
        " (SELECT count(*) FROM lhs JOIN rhs USING (session_id)) AS n_both")
 def session_overlap(spark, sf):
-    log, _ = event_log(spark, sf)
-    opened = log.where(F.col("page") == 0)
-    return P.session_overlap(opened.where(F.col(PHASE) == "0-4"), opened.where(F.col(PHASE) == "13-22"))
+    log, _ = event_log(spark, sf, "missing_phase")
+    return P.session_overlap(log.where(F.col(PHASE) == "0-4"), log.where(F.col(PHASE) == "13-22"))
 
 
 @query("fold_complement", "WITH " + SCORES + "SELECT h.fold, count(*) AS n_train, CAST(sum(s.y) AS BIGINT) AS pos_train"
@@ -657,11 +653,13 @@ def build_session_features_wide(spark, sf):
 @query("prune_features", GLOG + FEATURES_LONG + ", catalog AS (SELECT level_group, feature, CASE"
        " WHEN count(value) = 0 OR (count(value) = count(*) AND min(value) = max(value)) THEN 'constant'"
        " WHEN 1.0e0 - count(value)*1.0e0/count(*) > 0.9 THEN 'null_ratio' END AS reason"
-       " FROM feats WHERE level_group = '0-4' AND feature NOT LIKE '%\\_span\\_%' ESCAPE '\\' GROUP BY level_group, feature)"
+       " FROM feats WHERE feature NOT LIKE '%\\_span\\_%' ESCAPE '\\' OR (level_group, feature) IN ("
+       + ", ".join(f"('{_MARK_PHASE[m]}', '{m}_span_{c}')" for m in _MARK_SQL for c in ("elapsed_time", "index"))
+       + ") GROUP BY level_group, feature)"
        " SELECT level_group, feature, reason IS NULL AS kept, reason FROM catalog")
 def prune_features_query(spark, sf):
-    log, hot = event_log(spark, sf)
-    return prune_features(session_features(log, "0-4", stored_vocab(spark, log), hot=hot), "0-4")
+    parts = [prune_features(f, p) for p, f in all_features(spark, sf).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("original")
 
 
 @query("concat_features", GLOG + NUMERIC_LONG + ", g AS (SELECT session_id, level_group, count(*) FILTER (value IS NOT NULL) AS n, "

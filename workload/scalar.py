@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +16,9 @@ from playtrace.operators.features import (
 from playtrace.operators.sessions import reversal_flag, with_differences
 from playtrace.operators.stats import elapsed_basic, numeric_exprs
 from playtrace.operators.vocab import build_vocab, encode_columns
-from playtrace.schema import ALL_NULL_COLUMNS, EVENT_SCHEMA, KEYS, PHASE, SESSION
+from playtrace.schema import ALL_NULL_COLUMNS, EVENT_SCHEMA, KEYS, PHASE, PHASES, SESSION
 from playtrace.sources import tables as S
+from playtrace.sources.storage import shared_root
 from workload.inputs import event_log, parsed_labels, question_labels, scores, scores_long, table
 from workload.registry import (
     DIFFS, FOLDS, GLOG, GRID, LABELS, QLABELS, SCORES, SCORES_LONG, VOCAB, category_sql, query, r, rounded,
@@ -26,12 +27,8 @@ from workload.registry import (
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder for a written table: under the shared checkpoint folder where there is one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        return f"{tempfile.mkdtemp(prefix='tables-')}/{name}"
-    stamp = spark.sql("SELECT uuid()").first()[0]
-    return f"{base}/tables-{stamp}/{name}"
+    """A new folder for a written table, under the folder that driver and executors share."""
+    return f"{shared_root(spark)}/tables-{uuid.uuid4().hex}/{name}"
 
 
 EVENT_COLUMNS = [f.name for f in EVENT_SCHEMA.fields]
@@ -41,14 +38,14 @@ _EVENTS_SQL = GLOG + "SELECT " + ", ".join(f'"{c}"' for c in EVENT_COLUMNS) + "
 @query("scan_csv", _EVENTS_SQL)
 def scan_csv(spark, sf):
     path = scratch(spark, "events_csv")
-    event_log(spark, sf)[0].select(*EVENT_COLUMNS).write.option("header", True).csv(path)
+    S.write_csv(event_log(spark, sf)[0].select(*EVENT_COLUMNS), path)
     return S.read_events_csv(spark, path)
 
 
 @query("scan_labels_csv", QLABELS)
 def scan_labels_csv(spark, sf):
     path = scratch(spark, "labels_csv")
-    question_labels(spark, sf).write.option("header", True).csv(path)
+    S.write_csv(question_labels(spark, sf), path)
     return S.read_labels_csv(spark, path)
 
 
@@ -128,11 +125,12 @@ def numeric_features(spark, sf, phase):
 
 
 @query("sink_feature_catalog", GLOG + NUMERIC_LONG
-       + "SELECT level_group, feature, reason IS NULL AS kept, reason FROM catalog WHERE level_group = '13-22'")
+       + "SELECT level_group, feature, feature AS original, reason IS NULL AS kept, reason FROM catalog")
 def sink_feature_catalog(spark, sf):
     path = scratch(spark, "catalog")
-    S.write_catalog(prune_features(numeric_features(spark, sf, "13-22"), "13-22"), path)
-    return S.read_table(spark, path).select(PHASE, "feature", "kept", "reason")
+    parts = [prune_features(numeric_features(spark, sf, p), p) for p in PHASES]
+    S.write_catalog(parts[0].unionByName(parts[1]).unionByName(parts[2]), path)
+    return S.read_table(spark, path).select(PHASE, "feature", "original", "kept", "reason")
 
 
 @query("sink_oof", "WITH " + SCORES + SCORES_LONG + "SELECT id, level, fold, model, y, " + r("p", "p", 9) + " FROM sl")
@@ -145,12 +143,14 @@ def sink_oof(spark, sf):
 
 @query("sink_scores", "WITH " + SCORES + SCORES_LONG + GRID + sweep_sql("model", "sl", "p")
        + ", best AS (SELECT model, max(score) AS score FROM sw GROUP BY model)"
-         " SELECT sw.model AS scope, " + r("min(t)", "threshold", 9) + ", " + r("sw.score", "score", 9)
+         " SELECT sw.model AS scope, CAST(NULL AS INT) AS level, " + r("min(t)", "threshold", 9) + ", " + r("sw.score", "score", 9)
        + " FROM sw JOIN best ON sw.model = best.model AND sw.score = best.score GROUP BY sw.model, sw.score")
 def sink_scores(spark, sf):
     path = scratch(spark, "scores")
     best = M.best_threshold(M.threshold_sweep(scores_long(spark, sf), ["model"]), ["model"])
-    S.append_scores(best.select(F.col("model").alias("scope"), "threshold", "score"), path)
+    scores_of_models = best.select(F.col("model").alias("scope"), "threshold", "score")
+    S.append_scores(scores_of_models, path)
+    S.append_scores(scores_of_models, path)  # a run that is repeated replaces its scores
     return rounded(S.read_table(spark, path), 9)
 
 
@@ -288,9 +288,10 @@ def encode_category(spark, sf):
 
 
 @query("cast_float32", GLOG + "SELECT session_id, level_group, CAST(sum(elapsed_time) AS FLOAT) AS elapsed_sum,"
-       " CAST(max(elapsed_time) AS FLOAT) AS elapsed_max FROM glog GROUP BY session_id, level_group")
+       " CAST(avg(elapsed_time) AS FLOAT) AS elapsed_mean, CAST(max(elapsed_time) AS FLOAT) AS elapsed_max,"
+       " CAST(min(elapsed_time) AS FLOAT) AS elapsed_min FROM glog GROUP BY session_id, level_group")
 def cast_float32(spark, sf):
-    return to_float32(elapsed_basic(event_log(spark, sf)[0]).select(*KEYS, "elapsed_sum", "elapsed_max"))
+    return to_float32(elapsed_basic(event_log(spark, sf)[0]))
 
 
 @query("nan_fill", GLOG + "SELECT event_id, CASE WHEN k % 9 = 0 THEN -1.0e0 ELSE page END AS page FROM glog")
@@ -314,11 +315,14 @@ def binarize(spark, sf):
 
 @query("select_features", GLOG + NUMERIC_LONG + "SELECT session_id, nl.level_group, nl.feature, "
        + r("value", "value", 3) + " FROM nl JOIN catalog c ON c.level_group = nl.level_group AND c.feature = nl.feature"
-       " WHERE reason IS NULL AND nl.level_group = '0-4' AND value IS NOT NULL")
+       " WHERE reason IS NULL AND value IS NOT NULL")
 def select_features_query(spark, sf):
-    features = numeric_features(spark, sf, "0-4")
-    kept = kept_features(prune_features(features, "0-4"), "0-4")
-    return rounded(features_long(select_features(features, kept)), 3)
+    parts = []
+    for phase in PHASES:
+        features = numeric_features(spark, sf, phase)
+        kept = kept_features(prune_features(features, phase), phase)
+        parts.append(features_long(select_features(features, kept)))
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), 3)
 
 
 @query("rename", GLOG + "SELECT session_id AS sid, level AS game_level, event_id FROM glog")
