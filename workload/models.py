@@ -462,12 +462,12 @@ def stream_sink(spark, sf):
     return spark.read.parquet(out).groupBy(PHASE).agg(F.count(F.lit(1)).alias("n"), F.sum("elapsed_time").alias("elapsed"))
 
 
-def run_stream(spark, sf, featurize_from_log, variant="plain", predict=None):
+def run_stream(spark, sf, featurize_from_log, variant="plain", predict=None, files=4):
     own = stream_session(spark)
     log, _, path = replayed(own, sf, variant)
     out = scratch(spark, "out")
     store = FeatureStore(f"{out}/store")
-    finished(score_stream(SF.read_stream(own, path, files_per_trigger=4), store, featurize_from_log(own, log), out,
+    finished(score_stream(SF.read_stream(own, path, files_per_trigger=files), store, featurize_from_log(own, log), out,
                           scratch(spark, "checkpoint"), predict))
     return out, store
 
@@ -504,7 +504,7 @@ def stream_score(spark, sf):
     """The stored run on the stream gives what it gives in batch."""
     run = StoredRun(spark, stored_run(spark, sf), [s.name for s in _RUN_SPECS], _RUN_FOLDS)
     log, hot = event_log(spark, sf)
-    out, _ = run_stream(spark, sf, lambda own, log: (lambda events, phase: run.features(events, phase, None)), predict=run.predict)
+    out, _ = run_stream(spark, sf, lambda own, log: (lambda events, phase: run.features(events, phase, None)), predict=run.predict, files=1000)
     batch = score(run, log, hot).select("session", "level", F.col("p").alias("_p"), F.col("correct").alias("_correct"))
     both = spark.read.parquet(f"{out}/predictions").join(batch, ["session", "level"], "left")
     same = (F.abs(F.col("p") - F.col("_p")) < 1e-9) & (F.col("correct") == F.col("_correct"))
