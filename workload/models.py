@@ -287,10 +287,17 @@ def save_load_models(spark, sf):
     return both.select("session", "level", "fold", (F.col("p_fitted") == F.col("p_loaded")).alias("same"))
 
 
-@query("gain_selection")
+@query("gain_selection", "SELECT CAST(unnest(range(1, 19)) AS INT) AS level, true AS half, true AS ranked, true AS largest")
 def gain_selection(spark, sf):
+    """Of each question the half of the features with the largest gain; which ones they are depends on the fits."""
     _, names = training_rows(spark, sf)
-    return top_half(mean_importance(T.gains(fitted(spark, sf, SPECS[0]), names, spark)))
+    used = mean_importance(T.gains(fitted(spark, sf, SPECS[0]), names, spark))
+    top, rest = top_half(used), top_half(used, keep="bottom")
+    top = top.groupBy("level").agg(F.count("*").alias("n"), F.max("rank").alias("rank"), F.min("gain").alias("least"))
+    rest = rest.groupBy("level").agg(F.count("*").alias("n_rest"), F.max("gain").alias("most"))
+    return top.join(rest, "level").select(
+        "level", (F.col("n_rest") - F.col("n")).isin(0, 1).alias("half"), (F.col("rank") == F.col("n")).alias("ranked"),
+        (F.col("least") >= F.col("most")).alias("largest"))
 
 
 @query("drop_column_selection", "SELECT 1 AS level, true AS marked, unnest(["

@@ -9,7 +9,7 @@ from playtrace.operators import metrics as M
 from playtrace.operators import profile as P
 from playtrace.operators import sessions as W
 from playtrace.operators import stats as A
-from playtrace.operators.features import carry_forward, features_long, prune_features, session_features
+from playtrace.operators.features import as_arrays, carry_forward, feature_columns, features_long, prune_features, session_features
 from playtrace.operators.modelsel import mean_importance, top_half
 from playtrace.operators.vocab import build_vocab, encode_columns
 from playtrace.schema import EVENT_SCHEMA, KEYS, LANDMARKS, PHASE, PHASES, SESSION, word_key
@@ -645,9 +645,16 @@ def build_session_features(spark, sf):
     return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), 3)
 
 
-@query("build_session_features_wide")
+@query("build_session_features_wide", GLOG + FEATURES_LONG + f"SELECT {SG}, CAST(count(value) AS INT) AS n_values,"
+       " CAST(sum(CAST(CAST(round(value, 3) AS DECIMAL(20, 3))*1000 AS BIGINT)) AS BIGINT) AS thousandths"
+       f" FROM feats WHERE level_group = '13-22' GROUP BY {SG}")
 def build_session_features_wide(spark, sf):
-    return flagship(spark, sf)
+    """Every column of the wide row: how many have a value, and the exact sum of the rounded values."""
+    wide = flagship(spark, sf)
+    values, _ = as_arrays(feature_columns(wide))
+    rows = wide.select(*KEYS, F.filter(values, lambda v: v.isNotNull()).alias("v"))
+    exact = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, v: s + (F.round(v, 3).cast("decimal(20,3)") * 1000).cast("bigint"))
+    return rows.select(*KEYS, F.size("v").alias("n_values"), exact.alias("thousandths"))
 
 
 @query("prune_features", GLOG + FEATURES_LONG + ", catalog AS (SELECT level_group, feature, CASE"
