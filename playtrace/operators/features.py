@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from playtrace.functions.columns import nan_to
 from playtrace.operators.sessions import with_differences
 from playtrace.operators.stats import flat_stats, tall_stats
-from playtrace.plans.skew import CHECK
+from playtrace.plans.skew import CHECK, find_hot
 from playtrace.schema import (
     ALL_NULL_COLUMNS, CATEGORY_COLUMNS, KEYS, LANDMARKS, METRIC_COLUMNS, NUNIQUE_COLUMNS, PHASE, PHASES, SESSION, Landmark,
     null_token, phase_prefix, unique_names,
@@ -83,9 +83,14 @@ def session_features(
 
     Two branches, each reading and shuffling only its own columns by session: flat statistics, and the tall
     statistics packed into one map per session. Everything after the shuffle (ordered differences,
-    aggregations, the final join) uses that partitioning.
+    aggregations, the final join, and the joins of ``carry_forward``) uses that partitioning: rows have one phase, so
+    they are dealt by session alone unless a session is hot.
     """
     rows = events.where(F.col(PHASE) == phase).drop(*[c for c in ALL_NULL_COLUMNS if c in events.columns])
+    if hot is CHECK:
+        hot = find_hot(rows, KEYS)
+    if hot is None:
+        rows = rows.repartition(SESSION)
     diffed = with_differences(rows, hot)
     if layout == "tall":
         return tall_stats(diffed)
@@ -99,7 +104,7 @@ def session_features(
         slots_expr().alias("_slots"))
     doubles = [f.name for f in flat.schema.fields if f.dataType.typeName() == "double"]
     others = [c for c in flat.columns if c not in (*KEYS, *doubles)]
-    return flat.join(packed, KEYS).selectExpr(
+    return flat.join(packed.drop(PHASE), SESSION).selectExpr(
         *KEYS, *others, *[f"nanvl(`{c}`, -1D) AS `{c}`" for c in doubles],
         *[f"{c}_nunique" for c in NUNIQUE_COLUMNS], *slot_columns(values))
 

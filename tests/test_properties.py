@@ -1,5 +1,7 @@
 """Properties that must hold whatever the data."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +9,9 @@ from rows import same
 
 from playtrace.operators import labels as L
 from playtrace.operators import stacking as K
-from playtrace.operators.features import session_features
+from playtrace.operators.features import carry_forward, session_features
 from playtrace.operators.vocab import build_vocab
+from playtrace.schema import PHASES
 from workload.inputs import event_log, parsed_labels, scores
 
 SF = "/root/testdata/sf0.001"
@@ -54,6 +57,17 @@ def test_partitioning_does_not_change_features(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_carried_features_are_not_shuffled_again(spark, tmp_path):
+    event_log(spark, SF)[0].write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    vocab = build_vocab(log)
+    carried = carry_forward({p: session_features(log, p, vocab) for p in PHASES})
+    plan = carried["13-22"]._jdf.queryExecution().executedPlan().toString()
+    shuffles = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
+    assert len(shuffles) <= 6  # two branches of each phase
+    assert all(re.search(r"hashpartitioning\(session_id#\d+L?, \d+\)", x) for x in shuffles)
+
+
 def test_feature_plan_shuffles_by_session_only(spark, tmp_path):
     event_log(spark, SF)[0].write.parquet(f"{tmp_path}/log")
     log = spark.read.parquet(f"{tmp_path}/log")
@@ -61,6 +75,6 @@ def test_feature_plan_shuffles_by_session_only(spark, tmp_path):
     plan = f._jdf.queryExecution().executedPlan().toString()
     shuffles = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
     assert shuffles and len(shuffles) <= 2
-    assert all("hashpartitioning(session_id" in x for x in shuffles)
+    assert all(re.search(r"hashpartitioning\(session_id#\d+L?, \d+\)", x) for x in shuffles)
     assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan or "ShuffledHashJoin" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
