@@ -1,7 +1,8 @@
 """Secret scans: pattern spans, and credential values that a password-guess model finds expensive.
 
 The cost of a value is the least, over all ways to cut it into words, dates, repeats, keyboard walks and brute-force
-spans, of the decades (powers of ten) of guesses those pieces take, found by dynamic programming over its positions.
+spans, of the decades (powers of ten) of guesses those pieces take, found by dynamic programming over its positions. Its words
+are a short list that guessing starts with and then the ``LISTED`` most frequent words of the documents themselves.
 """
 
 from __future__ import annotations
@@ -9,14 +10,15 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playtrace.llm.common import bounded_batches
+from playtrace.llm.common import bounded_batches, stored
 
 # The base patterns. The runs of the last two have their least length in the pattern: a run that is too
 # short is skipped whole either way.
@@ -26,9 +28,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "guess")
 
-#: Wider contexts: a credential's name, then a sign, then a quoted or bare value.
+#: Wider contexts: a credential's name, then a sign, then a quoted or bare value. Names that end ordinary words ('compass') stand
+#: after no letter, but for a capital after a small one; the others may be glued to what comes before ('dbpwd').
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|auth|signing)[_-]?key|bearer|auth)"""
+    r"""(?:(?:(?u:(?<![^\W\d_]))|(?-i:(?<=[a-z])(?=[A-Z])))(?:(?:db|my|user|root|admin)?pass|o?auth|bearer)"""
+    r"""|pass(?:word|wd|phrase|code)|pwd|secret|token|credentials?|(?:api|access|private|auth|signing)[_-]?key)"""
     r"""["']?[\x20\t]*(?:[:=]|=>|\x20is\x20)[\x20\t]*(?:"([^"\s]+)"|'([^'\s]+)'|([^\s"'<>,;]+))""",
     re.IGNORECASE | re.ASCII)
 
@@ -52,7 +56,11 @@ WORDS = (
     "prince knight soldier hunter ranger killer player gamer music guitar piano soccer hockey tennis summer correct battery "
     "staple apple banana cherry cookie coffee pepper ginger chocolate flower cheese chicken pizza").split()
 _RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
-_LONGEST = max(map(len, _RANK))
+#: Corpus words after these: at most so many, each in at least so many documents, of so many letters at most.
+LISTED = 1 << 16
+LEAST_DOCS = 3
+LONGEST = 24
+_LETTERS = re.compile(r"[^\W\d_]+")
 _LEET = str.maketrans("@4831!05$7", "aabeiiosst")
 # The rows of a keyboard, and the alphabet as one more row.
 ROWS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
@@ -86,7 +94,64 @@ def _brute(c: str) -> float:
     return 1.0 if c.isdigit() else math.log10(26) if c.isalpha() and c.isascii() else math.log10(33) if c.isascii() else 2.0
 
 
-def guess_cost(value: str) -> float:
+def word_ranks(docs: DataFrame, text: str = "text", most: int = LISTED) -> dict[str, int]:
+    """Rank of each word that guessing tries: ``WORDS``, then the words of ``docs`` by the number of documents they stand in.
+
+    Values in credential contexts are not counted, so that a secret is no word because copies repeat it. The list is cut where the
+    counts fall below a step of a logarithmic scale, so that it has at most ``most`` corpus words.
+    """
+    bounded_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for x in batch.column(0):
+                own = _outside(x.as_py() or "").lower()
+                counts.update({w for w in set(_LETTERS.findall(own)) if 2 <= len(w) <= LONGEST})
+                if len(counts) >= 500_000:
+                    yield _counted(counts)
+                    counts = Counter()
+        yield _counted(counts)
+
+    counts = docs.select(text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = stored(counts.where(F.col("n") >= LEAST_DOCS), "secret-words")
+    step = F.floor(F.log2("n") * 8)
+    steps = sorted(counts.groupBy(step.alias("s")).agg(F.count("*").alias("v")).collect(), reverse=True)  # < 512 rows
+    least, listed = math.inf, 0
+    for row in steps:
+        if listed + row["v"] > most:
+            break
+        least, listed = row["s"], listed + row["v"]
+    top = counts.where(step >= F.lit(float(least))).collect()  # at most ``most`` rows
+    ranks = dict(_RANK)
+    for row in sorted(top, key=lambda r: (-r["n"], r["word"])):
+        ranks.setdefault(row["word"], len(ranks) + 1)
+    return ranks
+
+
+def _counted(counts: Counter[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+
+def _outside(text: str) -> str:
+    """``text`` without the values in credential contexts."""
+    if not _named(text):
+        return text
+    out, at = [], 0
+    for a, b in sorted([m.span(2) for m in ASSIGN.finditer(text)] + [m.span(m.lastindex) for m in CONTEXT.finditer(text)]):
+        out.append(text[at:max(a, at)])
+        at = max(at, b)
+    return " ".join([*out, text[at:]])
+
+
+def _named(text: str) -> bool:
+    """Whether a credential's name may stand in ``text``: without one neither pattern with a name can match."""
+    low = text.lower()
+    return any(name in low for name in _NAMES)
+
+
+def guess_cost(value: str, ranks: Mapping[str, int] = _RANK) -> float:
     """Decades of guesses for the cheapest segmentation of ``value``, at most ``CEILING``. The empty value costs 0.
 
     A repeat is a block of up to ``PERIODS`` characters followed by as many copies of itself as there are. The states are
@@ -106,7 +171,7 @@ def guess_cost(value: str) -> float:
     def block(i: int, p: int) -> float:
         if (i, p) not in blocks:
             own = low[i:i + p]
-            rank = _RANK.get(own)
+            rank = ranks.get(own)
             blocks[i, p] = math.log10(rank + 1) if rank else sum(_brute(c) for c in own)
         return blocks[i, p]
 
@@ -126,11 +191,11 @@ def guess_cost(value: str) -> float:
             continue
         c = value[i]
         lower(i + 1, here + _brute(c) + (0.3 if c.isupper() else 0.0))
-        for size in range(2, min(_LONGEST, n - i) + 1):
+        for size in range(2, min(LONGEST, n - i) + 1):
             exact, spelt = low[i:i + size], plain[i:i + size]
-            rank = _RANK.get(exact) or _RANK.get(spelt)
+            rank = ranks.get(exact) or ranks.get(spelt)
             if rank:
-                twist = (0.3 if value[i:i + size] != exact else 0.0) + (0.6 if exact not in _RANK else 0.0)
+                twist = (0.3 if value[i:i + size] != exact else 0.0) + (0.6 if exact not in ranks else 0.0)
                 lower(i + size, here + math.log10(rank + 1) + twist)
         if c.isdigit():
             found = _DATE.match(value, i)
@@ -159,20 +224,19 @@ def guess_cost(value: str) -> float:
     return min(best[n], CEILING)
 
 
-def spans(text: str) -> list[tuple[int, int, str]]:
+def spans(text: str, ranks: Mapping[str, int] = _RANK) -> list[tuple[int, int, str]]:
     """``(start, kind number, end)`` of all secrets, sorted; kinds as in ``KINDS``.
 
     A ``guess`` span is a credential's value, where no base span already covers it.
     """
-    low = text.lower()
-    named = any(name in low for name in _NAMES)  # without one of these neither pattern with a name can match
+    named = _named(text)
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8] if named else []
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     covered = sorted((a, b) for a, _, b in found)
     for m in CONTEXT.finditer(text) if named else ():
         a, b = m.span(m.lastindex)
-        if b - a >= LEAST and not any(x <= a and b <= y for x, y in covered) and guess_cost(text[a:b]) >= DECADES:
+        if b - a >= LEAST and not any(x <= a and b <= y for x, y in covered) and guess_cost(text[a:b], ranks) >= DECADES:
             found.append((a, 3, b))
     return sorted(found)
 
@@ -187,6 +251,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     A null text is empty and has no spans; the digest of no spans is that of the empty string.
     """
     bounded_batches(docs.sparkSession)
+    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text))
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = T.StructType([
         own.schema["doc_id"], *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS[:3]],
@@ -197,7 +262,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         for batch in batches:
             rows = []
             for x in batch.column(1):
-                found = spans(x.as_py() or "")
+                found = spans(x.as_py() or "", ranks.value)
                 kinds = [k for _, k, _ in found]
                 base = _joined([s for s in found if s[1] < 3])
                 rows.append((
@@ -214,11 +279,11 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 MASK = "[secret]"
 
 
-def mask(text: str) -> str:
+def mask(text: str, ranks: Mapping[str, int] = _RANK) -> str:
     """``text`` with every secret replaced; overlapping spans are one."""
     out, at = [], 0
     merged: list[list[int]] = []
-    for a, _, b in spans(text):
+    for a, _, b in spans(text, ranks):
         if merged and a < merged[-1][1]:
             merged[-1][1] = max(merged[-1][1], b)
         else:
@@ -235,13 +300,14 @@ def mask_secrets(docs: DataFrame, text: str = "text", length: str | None = "n_ch
     ``length``, where the table has such a column, holds the new number of code points of each changed text.
     """
     bounded_batches(docs.sparkSession)
+    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text))
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
             old = batch.column(at).to_pylist()
-            new = [x and mask(x) for x in old]
+            new = [x and mask(x, ranks.value) for x in old]
             batch = batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
             size = batch.schema.get_field_index(length) if length else -1
             if size >= 0:

@@ -117,6 +117,29 @@ def test_guess_cost_of_long_values():
     assert secret_scan.guess_cost("kT9#vL2$xQ7!" + "b" * 100_000) > 15
 
 
+def test_ordinary_words_are_no_secrets(spark):
+    words = "encrypted generated persistence required northeast immutable".split()
+    prose = [f"clean prose says {w} again" for w in words for _ in range(3)]
+    clean = ["the password is encrypted", "the token is generated", "the secret is persistence", "pwd: immutable", "bearer => required",
+             "passphrase = northeast", "compass: zqxwvkjha", "pallbearer: zqxwvkjhb", "bypass is zqxwvkjhc"]
+    hidden = ["the password is zqxwvkjhq"] * 4 + ["dbpwd: zqxwvkjhq", "userPass: zqxwvkjhq", "my-auth = kT9#vL2$xQ7!"]
+    given = [(i, t, None, None, None) for i, t in enumerate(prose + clean + hidden)]
+    docs = fx.documents(spark, given, False)
+    got = {r["doc_id"] for r in secret_scan.scan(docs).where("n_guess > 0").collect()}
+    assert {given[i][1] for i in got} == set(hidden)
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.mask_secrets(docs, length=None).collect()}
+    assert all((masked[i] == t) != (t in hidden) for i, t, *_ in given)
+
+
+def test_the_word_list_is_bounded_and_ranked(spark):
+    given = [(i, f"common {'rarer' if i < 5 else 'common'} once{i}", None, None, None) for i in range(20)]
+    docs = fx.documents(spark, given, False)
+    ranks = secret_scan.word_ranks(docs)
+    own = [w for w in sorted(ranks, key=ranks.get) if w not in secret_scan._RANK]
+    assert own == ["common", "once", "rarer"]
+    assert "rarer" not in secret_scan.word_ranks(docs, most=2) and "common" in secret_scan.word_ranks(docs, most=2)
+
+
 def test_masking_keeps_rows_and_columns(docs):
     masked = secret_scan.mask_secrets(docs)
     assert masked.columns == docs.columns and masked.count() == docs.count()
