@@ -1,8 +1,9 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles, banded, verified by weighted Jaccard.
 
 Texts are compared as five-word shingles (words in small letters A-Z) with weight term frequency times IDF. The document
-frequencies of all shingles are kept in a sketch of fixed size. Each text draws ``BANDS * ROWS`` samples; two texts draw
-the same with the probability of their weighted Jaccard similarity. Texts that agree on a whole band share a bucket.
+frequencies of all shingles are kept in a sketch of fixed size. Each text draws ``BANDS * ROWS`` samples by weight and as many
+without; two texts draw the same with the probability of their weighted, and of their plain Jaccard similarity. Texts that agree
+on a whole band share a bucket, so pairs that are similar by either measure alone are compared.
 
 Buckets are worked off without writing their pairs. First all members are compared with one leader, the member that meets most
 others, which costs a comparison a member. Only members whose classes still differ are then compared with each other, in
@@ -162,6 +163,20 @@ def band_keys(h: np.ndarray, owner: np.ndarray, weight: np.ndarray) -> tuple[np.
     return texts, mix64(keys.ravel()).reshape(keys.shape).view(np.int64)
 
 
+def plain_band_keys(h: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Keys of as many bands again, of the texts with a shingle, by the least hashes of their shingle sets."""
+    starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else np.empty(0, np.int64)
+    keys = np.empty((len(starts), BANDS), np.uint64)
+    for k in range(BANDS * ROWS):
+        x = mix64(h ^ mix64(np.array([(1 << 32) + k], np.uint64)))
+        least = np.minimum.reduceat(x, starts) if len(starts) else x
+        band = k // ROWS
+        if k % ROWS == 0:
+            keys[:, band] = BANDS + band + 1
+        keys[:, band] = mix64(keys[:, band]) * np.uint64(0x9E3779B97F4A7C15) + least
+    return mix64(keys.ravel()).reshape(keys.shape).view(np.int64)
+
+
 def signatures(docs: DataFrame, idf, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, digest, bands`` per row; a text without a word has no bands. ``idf`` is a broadcast ``idf_table``."""
     own = docs.select(F.col(doc_id).alias("doc_id"), _digest(text).alias("digest"), F.col(text).alias("text"))
@@ -173,6 +188,7 @@ def signatures(docs: DataFrame, idf, doc_id: str = "doc_id", text: str = "text")
             for first, group in _groups(as_bytes(batch.column(2), lower=True)):
                 h, owner, count = _elements(group)
                 texts, keys = band_keys(h, owner, count * idf.value[(h & np.uint64(SKETCH - 1)).astype(np.int64)])
+                keys = np.concatenate((keys, plain_band_keys(h, owner)), axis=1)
                 for i, row in zip((texts + first).tolist(), keys.tolist()):
                     bands[i] = row
             yield pa.RecordBatch.from_arrays(

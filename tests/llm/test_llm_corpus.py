@@ -110,6 +110,21 @@ def test_a_group_of_near_copies_above_the_tile_size(spark, monkeypatch):
     assert got == want
 
 
+def test_copies_with_repeated_lines(spark):
+    """Plain similarity above 0.9, weighted similarity about a third."""
+    rnd = random.Random(15)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    rows = []
+    for g in range(40):
+        base = [word() for _ in range(104)]
+        rows.append((10 * g, " ".join(base), "en", "s", 1))
+        rows.append((10 * g + 1, " ".join(base + base[-20:] * 10), "en", "s", 1))
+    want = {r[0]: c for r, c in zip(rows, brute_classes(rows))}
+    assert all(want[i] == i // 10 * 10 for i in want)
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(fx.documents(spark, rows, False)).collect()}
+    assert got == want
+
+
 def test_similarity_is_the_weighted_jaccard():
     rnd = random.Random(9)
     idf = near_dup.idf_table(np.clip(np.random.default_rng(0).integers(1, 50, near_dup.SKETCH).astype(float), 1, 50), 50)
