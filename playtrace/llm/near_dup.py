@@ -285,34 +285,41 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rows")).alias("first"), F.first("bands").alias("bands"))
     # distinct texts by a number of their own, which the table fixes
     texts = stored(texts.withColumn("item", F.monotonically_increasing_id()), "near-texts")
-    sampled = texts.select("item", F.explode("bands").alias("key"))
+    sampled = texts.select("item", F.posexplode("bands").alias("band", "key"))
     member = F.xxhash64("item")
     buckets = sampled.groupBy("key").agg(
-        F.count("*").alias("n"), F.bit_xor(member).alias("x"), F.sum(member % 1000003).alias("s")).where("n > 1")
-    buckets = buckets.groupBy("n", "x", "s").agg(F.min("key").alias("key"))  # the same members in several bands: once
-    members = stored(sampled.join(buckets.select("key", "n"), "key"), "near-members")
+        F.count("*").alias("n"), F.bit_xor(member).alias("x"), F.sum(member % 1000003).alias("s"),
+        (F.min("band") >= BANDS).alias("plain")).where("n > 1")
+    # the same members in several bands: once
+    buckets = buckets.groupBy("n", "x", "s").agg(F.min(F.struct("plain", "key")).alias("least")).select("n", "least.*")
+    members = stored(sampled.drop("band").join(buckets, "key"), "near-members")
     needed = texts.select("item", "digest").join(members.select("item").distinct(), "item")
     own = docs.select(_digest(text).alias("digest"), F.col(text).alias("text"))
     whole = own.join(_small(needed, 60), "digest").groupBy("item").agg(F.first("text").alias("text"))
     whole = stored(whole, "near-whole")
     # the leader of a bucket is the member that meets most others over all its buckets
     met = members.groupBy("item").agg(F.sum("n").alias("met"))
-    leaders = members.join(met, "item").groupBy("key").agg(F.max_by("item", F.struct("met", "item")).alias("leader"), F.first("n").alias("n"))
+    leaders = members.join(met, "item").groupBy("key").agg(F.max_by("item", F.struct("met", "item")).alias("leader"))
     leaders = stored(leaders, "near-leaders")
-    parts = F.ceil(F.col("n") / F.lit(TILE)).cast("int")
-    lead = leaders.select("key", F.col("leader").alias("item"), F.lit(-1).alias("part"),
-                          F.explode(F.sequence(F.lit(0), parts - 1)).alias("i"))
     others = members.join(leaders.select("key", "leader"), "key").where("item <> leader")
-    rest = others.withColumn("part", F.pmod(member, parts).cast("int")).select("key", "item", "part", F.col("part").alias("i"))
+    # a leader meets each member once, however many buckets they share
+    pairs = others.select("leader", "item").distinct()
+    sizes = pairs.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("parts"))
+    lead = sizes.select(F.col("leader").alias("key"), F.col("leader").alias("item"), F.lit(-1).alias("part"),
+                        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"))
+    rest = pairs.join(sizes, "leader").withColumn("part", F.pmod(member, F.col("parts")).cast("int")).select(
+        F.col("leader").alias("key"), "item", "part", F.col("part").alias("i"))
     star = lead.unionByName(rest).withColumn("j", F.lit(-1)).join(whole, "item").withColumn("class", F.col("item"))
     links = stored(verify(star, idf), "near-links")
     found = stored(components(links, "near-classes"), "near-found")
-    # what a leader did not settle: members of one bucket in different classes
-    left = others.select("key", "item").join(found.withColumnRenamed("node", "item"), "item", "left")
-    left = left.select("key", "item", F.coalesce("root", "item").alias("class"))
-    more = stored(verify(tiles(left, TILE).join(whole, "item"), idf), "near-links")
-    if not more.isEmpty():
-        found = components(links.unionByName(more), "near-classes")
+    # what a leader did not settle: members of one bucket in different classes; those by weight first, as they settle most of the others
+    for plain in (False, True):
+        left = others.where(F.col("plain") == plain).select("key", "item").join(found.withColumnRenamed("node", "item"), "item", "left")
+        left = left.select("key", "item", F.coalesce("root", "item").alias("class"))
+        more = stored(verify(tiles(left, TILE).join(whole, "item"), idf), "near-links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = stored(components(links, "near-classes"), "near-found")
     rooted = texts.join(found.withColumnRenamed("node", "item"), "item", "left").select(
         "digest", "first", F.coalesce("root", "item").alias("root"))
     heads = rooted.groupBy("root").agg(F.min(F.struct("first", "digest")).alias("head"))
