@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playtrace.llm import chat, license_scan, lm, mixing, near_dup, packing, quality, secret_scan, token_counts, vector_dup
+from playtrace.llm import (
+    chat, fim, importance, license_scan, lm, mixing, near_dup, packing, quality, secret_scan, token_counts, toxicity, vector_dup)
 from playtrace.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -188,3 +189,61 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_pivot_near_dup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.fit_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_FIM_SQL = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units FROM documents)
+, c AS (SELECT *, CAST(len(units) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS u,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS v,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+      WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d)
+, s AS (SELECT *, coalesce(array_to_string(units[1 : least(u, v)], ''), '') AS p,
+    coalesce(array_to_string(units[least(u, v) + 1 : greatest(u, v)], ''), '') AS m,
+    coalesce(array_to_string(units[greatest(u, v) + 1 : n], ''), '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM s"""
+
+
+@query("op12_fill_in_middle", _FIM_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(stored(fim.store_frames(table(spark, sf_dir, "documents")), "frames"))
+
+
+#: CRC-32 by its polynomial, a byte at a time over a table made by its rule.
+_RESAMPLE_SQL = r"""WITH crc AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t)
+, given AS (SELECT row_number() OVER () AS r, doc_id, text, true AS own FROM documents
+  UNION ALL SELECT -1 - row_number() OVER (), NULL, text, false FROM benchmark)
+, pos AS (SELECT r, own, unnest(list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS w FROM given)
+, tf AS (SELECT r, own, w, count(*) AS c FROM pos GROUP BY ALL)
+, hashed AS (SELECT w, xor(list_reduce(list_transform(range(1, length(hex(encode(w))), 2),
+      lambda i: CAST('0x' || substr(hex(encode(w)), i, 2) AS BIGINT)),
+    lambda x, y: xor(x >> 8, t[CAST(xor(x, y) & 255 AS INT) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM tf), crc)
+, b AS (SELECT r, own, bucket, sum(c) AS c FROM tf JOIN hashed USING (w) GROUP BY ALL)
+, totals AS (SELECT coalesce(sum(c) FILTER (own), 0) AS all_s, coalesce(sum(c) FILTER (NOT own), 0) AS all_t FROM b)
+, gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (all_s + 10000) AS DOUBLE) / CAST((s + 1) * (all_t + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM (SELECT bucket, coalesce(sum(c) FILTER (own), 0) AS s, coalesce(sum(c) FILTER (NOT own), 0) AS t, any_value(all_s) AS all_s,
+    any_value(all_t) AS all_t FROM b, totals GROUP BY bucket))
+, weights AS (SELECT r, CAST(sum(c) AS BIGINT) AS n_features, CAST(sum(c * gain) AS BIGINT) AS weight FROM b JOIN gain USING (bucket) WHERE own GROUP BY r)
+, scored AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5e0) / 4294967296e0))) AS BIGINT) AS score
+  FROM (SELECT * FROM given WHERE own) LEFT JOIN weights USING (r))
+, placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n * 10 // 100 THEN CAST(place AS BIGINT) END AS rank FROM placed"""
+
+
+@query("op13_importance_resample", _RESAMPLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
