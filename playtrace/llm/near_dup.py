@@ -6,8 +6,11 @@ without; two texts draw the same with the probability of their weighted, and of
 on a whole band share a bucket, so pairs that are similar by either measure alone are compared.
 
 Buckets are worked off without writing their pairs. First all members are compared with one leader, the member that meets most
-others, which costs a comparison a member. Only members whose classes still differ are then compared with each other, in
-tiles, so a bucket is exhausted without comparing the large class of a group of copies with itself.
+others, which costs a comparison a member. Of the members whose classes still differ only those go on that share one of their rare
+shingles with a member of another class: two texts at the threshold have a shingle in common among the rarest of each, those that hold
+a fifth of its shingles, or of its weight. So texts that share a passage and no more are done with at the cost of counting. The buckets
+of one leader, which hold much the same texts, become one group, so that a pair is met once. Groups are compared in tiles of bounded
+bytes, a large class never with itself.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ SIMILAR = 0.8
 BANDS, ROWS = 10, 3
 SKETCH = 1 << 18
 BLOCK = 1 << 12
-TILE = 128
+#: Texts, and bytes of them, of a part of a group; a tile holds two parts.
+TILE, TILE_BYTES = 1024, 4 << 20
 #: Key tables up to this size are broadcast; beyond it Spark joins by shuffles.
 BROADCAST_BYTES = 8 << 20
 _GROUP = 1 << 20
@@ -223,18 +227,108 @@ def similarity(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndar
         x = np.zeros((n, len(w)), np.float32)
         x[owner[a:b], col[a:b] - start] = 1
         both += x @ x.T
-        for level in range(1, int(count[a:b].max()) + 1 if b > a else 1):  # a shingle that stands k times counts as k
-            if level > 1:
-                x[:] = 0
-                more = np.flatnonzero(count[a:b] >= level)
-                x[owner[a:b][more], col[a:b][more] - start] = 1
-            common += (x * w.astype(np.float32)) @ x.T
+        common += (x * w.astype(np.float32)) @ x.T
+        more = np.flatnonzero(count[a:b] > 1)
+        level = 2
+        while len(more):  # a shingle that stands k times counts as k: once more for the texts that have it so often
+            texts_of, i = np.unique(owner[a:b][more], return_inverse=True)
+            own_cols, j = np.unique(col[a:b][more] - start, return_inverse=True)
+            x = np.zeros((len(texts_of), len(own_cols)), np.float32)
+            x[i, j] = 1
+            common[np.ix_(texts_of, texts_of)] += (x * w[own_cols].astype(np.float32)) @ x.T
+            level += 1
+            more = more[count[a:b][more] >= level]
     with np.errstate(divide="ignore", invalid="ignore"):
         weighted = common / (own[:, None] + own[None, :] - common)
         plainly = both / (plain[:, None] + plain[None, :] - both)
     return np.nan_to_num(weighted), np.nan_to_num(plainly)
 
 
+def similar_to_first(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
+    """The larger of the weighted and the plain Jaccard similarity of the first text with each."""
+    n = len(texts)
+    h, owner, count = _elements(texts)
+    weight = idf[(h & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.float64)
+    own, plain = np.bincount(owner, weight * count, n), np.bincount(owner, minlength=n).astype(np.float64)
+    first = owner == 0
+    order = np.argsort(h[first])
+    known, times = h[first][order], count[first][order]
+    if not len(known):
+        return np.zeros(n)
+    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    hit = known[at] == h
+    common = np.bincount(owner[hit], weight[hit] * np.minimum(count[hit], times[at[hit]]), n)
+    both = np.bincount(owner[hit], minlength=n)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.nan_to_num(np.maximum(common / (own[0] + own - common), both / (plain[0] + plain - both)))
+
+
+def verify_stars(groups: DataFrame, idf) -> DataFrame:
+    """Links ``a, b`` between a leader and the members of its tile; rows ``key, i, item, part, text``, the leader's ``part`` is -1."""
+    dealt = groups.select("key", "i", "part", "item", "text").repartition("key", "i").sortWithinPartitions("key", "i", "part", "item")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, 2):
+            found = similar_to_first([(r[4] or "").encode().lower() for r in rows], idf.value) >= SIMILAR
+            linked = [rows[k][3] for k in np.flatnonzero(found[1:]) + 1]
+            if linked:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([rows[0][3]] * len(linked), pa.int64()), pa.array(linked, pa.int64())], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def rare_shingles(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(shingle, text number)`` of the rarest shingles of each text: the first floor(n (1 - ``SIMILAR``)) + 1 of n, and all before whom
+    no more than 1 - ``SIMILAR`` of its weight stands. Rare is what has the larger IDF, then the smaller hash.
+
+    Two texts that are similar at ``SIMILAR`` by either measure share one of these shingles. If they share none, all that they have in
+    common comes, in one of them, after its rare ones, which is less than ``SIMILAR`` of its shingles and of its weight.
+    """
+    h, owner, count = _elements(texts)
+    if not len(h):
+        return h, owner
+    rank = idf[(h & np.uint64(SKETCH - 1)).astype(np.int64)]
+    order = np.lexsort((h, -rank, owner))
+    h, owner, weight = h[order], owner[order], (count[order] * rank[order]).astype(np.float64)
+    starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+    sizes = np.diff(starts, append=len(owner))
+    nth = np.arange(len(owner)) - np.repeat(starts, sizes)
+    before = np.cumsum(weight) - weight
+    before -= np.repeat(before[starts], sizes)
+    share = 1 - SIMILAR + 1e-9
+    total = np.repeat(np.add.reduceat(weight, starts), sizes)
+    rare = (nth <= np.repeat(sizes, sizes) * share) | (before <= total * share)
+    return h[rare], owner[rare]
+
+
+def with_rare_partners(members: DataFrame, whole: DataFrame, idf) -> DataFrame:
+    """The rows of ``members`` (``item, class, ...``) whose text shares a rare shingle with a member of another class."""
+    own = members.select("item", "class").distinct().join(whole, "item").select("item", "class", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, group in _groups(as_bytes(batch.column(2), lower=True)):
+                h, owner = rare_shingles(group, idf.value)
+                at = pa.array(owner + first)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(h.view(np.int64))], names=["item", "class", "shingle"])
+
+    rare = stored(own.mapInArrow(run, "item long, class long, shingle long"), "near-rare")
+    shared = rare.groupBy("shingle").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("shingle")
+    return members.join(rare.join(shared, "shingle", "left_semi").select("item").distinct(), "item", "left_semi")
+
+
+def merged(members: DataFrame) -> DataFrame:
+    """``key, item, class`` from ``key, leader, item, class``: the buckets of a leader as one group, where that makes fewer pairs than
+    its buckets one by one."""
+    union = members.select("leader", "item").distinct().groupBy("leader").agg(F.count("*").alias("u"))
+    pairs = members.groupBy("leader", "key").count().groupBy("leader").agg(F.sum(F.col("count") * F.col("count")).alias("s"))
+    how = union.join(pairs, "leader").select("leader", (F.col("u") * F.col("u") <= F.col("s")).alias("together"))
+    key = F.when(F.col("together"), F.xxhash64(F.lit("leader"), "leader")).otherwise(F.col("key"))
+    return members.join(how, "leader").select(key.alias("key"), "item", "class").distinct()
+
+
 def verify(groups: DataFrame, idf) -> DataFrame:
     """Links ``a, b`` found in tiles ``key, i, j`` of rows ``item, class, part, text``.
 
@@ -288,15 +382,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     sampled = texts.select("item", F.posexplode("bands").alias("band", "key"))
     member = F.xxhash64("item")
     buckets = sampled.groupBy("key").agg(
-        F.count("*").alias("n"), F.bit_xor(member).alias("x"), F.sum(member % 1000003).alias("s"),
-        (F.min("band") >= BANDS).alias("plain")).where("n > 1")
+        F.count("*").alias("n"), F.bit_xor(member).alias("x"), F.sum(member % 1000003).alias("s")).where("n > 1")
     # the same members in several bands: once
-    buckets = buckets.groupBy("n", "x", "s").agg(F.min(F.struct("plain", "key")).alias("least")).select("n", "least.*")
+    buckets = buckets.groupBy("n", "x", "s").agg(F.min("key").alias("key"))
     members = stored(sampled.drop("band").join(buckets, "key"), "near-members")
     needed = texts.select("item", "digest").join(members.select("item").distinct(), "item")
     own = docs.select(_digest(text).alias("digest"), F.col(text).alias("text"))
     whole = own.join(_small(needed, 60), "digest").groupBy("item").agg(F.first("text").alias("text"))
-    whole = stored(whole, "near-whole")
+    whole = stored(whole.withColumn("bytes", F.coalesce(F.octet_length("text"), F.lit(0))), "near-whole")
+    lengths, whole = whole.select("item", "bytes"), whole.select("item", "text")
     # the leader of a bucket is the member that meets most others over all its buckets
     met = members.groupBy("item").agg(F.sum("n").alias("met"))
     leaders = members.join(met, "item").groupBy("key").agg(F.max_by("item", F.struct("met", "item")).alias("leader"))
@@ -304,22 +398,25 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     others = members.join(leaders.select("key", "leader"), "key").where("item <> leader")
     # a leader meets each member once, however many buckets they share
     pairs = others.select("leader", "item").distinct()
-    sizes = pairs.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("parts"))
+    parts = F.greatest(F.ceil(F.count("*") / F.lit(TILE)), F.ceil(F.sum("bytes") / F.lit(TILE_BYTES)), F.lit(1)).cast("int")
+    sizes = pairs.join(lengths, "item").groupBy("leader").agg(parts.alias("parts"))
     lead = sizes.select(F.col("leader").alias("key"), F.col("leader").alias("item"), F.lit(-1).alias("part"),
                         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"))
     rest = pairs.join(sizes, "leader").withColumn("part", F.pmod(member, F.col("parts")).cast("int")).select(
         F.col("leader").alias("key"), "item", "part", F.col("part").alias("i"))
-    star = lead.unionByName(rest).withColumn("j", F.lit(-1)).join(whole, "item").withColumn("class", F.col("item"))
-    links = stored(verify(star, idf), "near-links")
+    star = lead.unionByName(rest).join(whole, "item")
+    links = stored(verify_stars(star, idf), "near-links")
     found = stored(components(links, "near-classes"), "near-found")
-    # what a leader did not settle: members of one bucket in different classes; those by weight first, as they settle most of the others
-    for plain in (False, True):
-        left = others.where(F.col("plain") == plain).select("key", "item").join(found.withColumnRenamed("node", "item"), "item", "left")
-        left = left.select("key", "item", F.coalesce("root", "item").alias("class"))
-        more = stored(verify(tiles(left, TILE).join(whole, "item"), idf), "near-links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            found = stored(components(links, "near-classes"), "near-found")
+    # what a leader did not settle: members of one bucket in different classes
+    left = others.join(found.withColumnRenamed("node", "item"), "item", "left").select(
+        "key", "leader", "item", F.coalesce("root", "item").alias("class"))
+    open_buckets = left.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("key")
+    left = stored(left.join(open_buckets, "key", "left_semi"), "near-left")
+    left = stored(merged(stored(with_rare_partners(left, whole, idf), "near-left")), "near-left")
+    dealt = tiles(left.join(lengths, "item"), TILE, "bytes", TILE_BYTES)
+    more = stored(verify(dealt.join(whole, "item"), idf), "near-links")
+    if not more.isEmpty():
+        found = stored(components(links.unionByName(more), "near-classes"), "near-found")
     rooted = texts.join(found.withColumnRenamed("node", "item"), "item", "left").select(
         "digest", "first", F.coalesce("root", "item").alias("root"))
     heads = rooted.groupBy("root").agg(F.min(F.struct("first", "digest")).alias("head"))

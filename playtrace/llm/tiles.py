@@ -10,23 +10,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def tiles(members: DataFrame, size: int) -> DataFrame:
+def tiles(members: DataFrame, size: int, weight: str | None = None, most: int = 0) -> DataFrame:
     """``key, item, class, side, part, i, j`` for members ``key, item, class`` whose bucket holds more than one class.
 
-    Per bucket the largest class is side 1, all others side 0, both cut into parts of about ``size`` (parts of side 1 have
-    negative numbers). Tile (i, j) is to compare part i with part j, (i, i) part i with itself: each pair of members of which
+    Per bucket the largest class is side 1, all others side 0, both cut into parts of about ``size`` members (parts of side 1 have
+    negative numbers), and, if a column ``weight`` is named, of about ``most`` of it. Tile (i, j) is to compare part i with part j, (i, i) part i with itself: each pair of members of which
     one is on side 0 meets in exactly one tile.
     """
-    by_class = members.groupBy("key", "class").count()
+    load = F.sum(F.col(weight) if weight else F.lit(0)).cast("long")
+    by_class = members.groupBy("key", "class").agg(F.count("*").alias("count"), load.alias("load"))
     buckets = by_class.groupBy("key").agg(
-        F.max(F.struct("count", "class")).alias("most"), F.sum("count").alias("n")).where("n > most.count")
+        F.max(F.struct("count", "class", "load")).alias("most"), F.sum("count").alias("n"), F.sum("load").alias("load"),
+    ).where("n > most.count")
 
-    def parts(n):
-        return F.ceil(n / F.lit(size)).cast("int")
+    def parts(n, load):
+        return F.greatest(F.ceil(n / F.lit(size)), F.ceil(load / F.lit(most or 1)) if weight else F.lit(1)).cast("int")
 
     buckets = buckets.select(
-        "key", F.col("most.class").alias("large"), parts(F.col("n") - F.col("most.count")).alias("rest"),
-        parts(F.col("most.count")).alias("wide"))
+        "key", F.col("most.class").alias("large"), parts(F.col("n") - F.col("most.count"), F.col("load") - F.col("most.load")).alias("rest"),
+        parts(F.col("most.count"), F.col("most.load")).alias("wide"))
     own = members.join(buckets, "key").withColumn("side", (F.col("class") == F.col("large")).cast("int"))
     nth = F.pmod(F.xxhash64("item"), F.when(F.col("side") == 1, F.col("wide")).otherwise(F.col("rest"))).cast("int")
     own = own.withColumn("part", F.when(F.col("side") == 1, -1 - nth).otherwise(nth))

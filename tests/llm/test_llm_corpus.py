@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from playtrace.llm import lm, near_dup, packing, queries, vector_dup
 from playtrace.llm.components import components
+from pyspark.sql import functions as F
 
 
 @pytest.fixture(scope="module")
@@ -309,3 +310,55 @@ def test_empty_tables(spark):
     vectors_none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     for df in (near_dup.near_duplicates(none), near_dup.drop_near_duplicates(none), vector_dup.near_vectors(vectors_none), lm.fit_and_score(none)):
         assert df.count() == 0
+
+
+def test_rare_shingles_of_similar_texts_meet():
+    """No pair at the threshold, by either measure, is without a rare shingle in common."""
+    rnd = random.Random(21)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(60)]
+    frequencies = np.random.default_rng(2).integers(1, 500, near_dup.SKETCH).astype(float)
+    idf = near_dup.idf_table(frequencies, 500)
+    met = 0
+    for _ in range(60):
+        base = [rnd.choice(words) for _ in range(rnd.randint(3, 80))]
+        if rnd.random() < 0.4:
+            base += base[:12] * rnd.randint(1, 9)
+        texts = []
+        for _ in range(12):
+            own = list(base)
+            for _ in range(rnd.randint(0, 4)):
+                own[rnd.randrange(len(own))] = rnd.choice(words)
+            texts.append(" ".join(own).encode())
+        weighted, plain = near_dup.similarity(texts, idf)
+        h, owner = near_dup.rare_shingles(texts, idf)
+        own = [set(h[owner == i].tolist()) for i in range(len(texts))]
+        for a in range(len(texts)):
+            first = near_dup.similar_to_first([texts[a], *texts], idf)[1:]
+            assert np.allclose(np.delete(first, a), np.delete(np.maximum(weighted, plain)[a], a), atol=1e-5)
+            for b in range(a):
+                if max(weighted[a, b], plain[a, b]) >= near_dup.SIMILAR:
+                    met += 1
+                    assert own[a] & own[b]
+    assert met > 300
+
+
+def test_texts_that_share_a_passage_only_are_not_dealt(spark):
+    """A passage in many documents makes large buckets; their members go before any pair is compared."""
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefghijkl") for _ in range(6))
+    passage = [word() for _ in range(60)]
+    rows = [(i, " ".join([word() for _ in range(25)] + passage + [word() for _ in range(25)])) for i in range(300)]
+    rows += [(1000 + i, " ".join(rows[0][1].split()[:-1] + [word()])) for i in range(3)]
+    whole = spark.createDataFrame(rows, "item long, text string")
+    members = whole.select("item", F.col("item").alias("class"), F.lit(1).alias("key"), F.lit(0).alias("leader"))
+    idf = spark.sparkContext.broadcast(near_dup.idf_table(*near_dup.document_frequencies(whole)))
+    assert {r["item"] for r in near_dup.with_rare_partners(members, whole, idf).collect()} == {0, 1000, 1001, 1002}
+
+
+def test_buckets_of_a_leader_are_one_group_where_they_overlap(spark):
+    rows = [(1, 7, i, i) for i in range(20)] + [(2, 7, i, i) for i in range(2, 22)] + [(3, 8, 1, 1), (3, 8, 2, 2), (4, 8, 3, 3), (4, 8, 4, 4)]
+    got = near_dup.merged(spark.createDataFrame(rows, "key long, leader long, item long, class long")).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r["key"], set()).add(r["item"])
+    assert sorted(map(sorted, groups.values())) == [list(range(22)), [1, 2], [3, 4]] and len(got) == 26
