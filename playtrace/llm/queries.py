@@ -165,7 +165,7 @@ def vocabulary() -> str:
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     trees = stored(token_counts.build_trees(table(spark, sf_dir, "documents"), vocabulary()), "count-trees")
-    counted = token_counts.apply_edits(token_counts.masking_edits(trees), vocabulary())
+    counted = token_counts.apply_edits(trees, vocabulary(), token_counts.masking)
     return counted.select(
         "doc_id", F.col("before").alias("n_tokens"), "n_edits", F.col("after").alias("new_tokens"), "recoded",
         F.length("text").cast("long").alias("new_chars"))

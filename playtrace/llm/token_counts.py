@@ -9,7 +9,7 @@ root, nodes n to 2n-1 the leaves: characters below a node, tokens below it.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,17 +37,7 @@ class CountTree:
         if not len(size):
             size = count = np.zeros(1, np.int64)
         starts = np.arange(0, len(size), LEAF)
-        n = 1 << (len(starts) - 1).bit_length()
-        trees = []
-        for values in (size, count):
-            tree = np.zeros(2 * n, np.int64)
-            tree[n:n + len(starts)] = np.add.reduceat(values, starts)
-            level = n
-            while level > 1:
-                tree[level // 2:level] = tree[level:2 * level:2] + tree[level + 1:2 * level:2]
-                level //= 2
-            trees.append(tree)
-        return CountTree(text, *trees)
+        return CountTree(text, *(_heap(np.add.reduceat(values, starts)) for values in (size, count)))
 
     def total(self) -> int:
         return int(self.tokens[1])
@@ -71,20 +61,69 @@ class CountTree:
             self.tokens[node] += more[1]
             node //= 2
 
-    def edit(self, start: int, end: int, new: str, encode: Encoder) -> None:
-        """Replace characters ``[start, end)``. The leaves from that of the character before to that of the one after are
-        cut again into segments; their content goes to the first of them and the others become empty."""
-        old = self.text
+    def _grow(self, first: int, last: int, chars: np.ndarray, tokens: np.ndarray) -> None:
+        """New leaves in place of the leaves from ``first`` to ``last``; empty ones go, and the sums above are made anew."""
+        own = []
+        for tree, values in ((self.chars, chars), (self.tokens, tokens)):
+            leaves = tree[self.n:]
+            own.append(np.concatenate((leaves[:first], np.add.reduceat(values, np.arange(0, len(values), LEAF)), leaves[last + 1:])))
+        used = own[0] > 0
+        self.chars, self.tokens = (_heap(x[used]) for x in own)
+        self.n = len(self.chars) // 2
+
+    def _recode(self, start: int, end: int, before: str, new: str, after: Callable[[int], str], encode: Encoder) -> None:
+        """Characters ``[start, end)`` become ``new``. The leaves from that of the character before to that of the one after are cut
+        again into segments; their content goes to the first of them, or to new leaves where it is more than two leaves hold."""
         first, a = self.find(max(start - 1, 0))
         last, b = self.find(end)
-        upto = b + int(self.chars[last + self.n])
-        region = old[a:start] + new + old[end:upto]
-        _, tokens, _ = next(encode.pieces([region.encode()]))
-        self.text = old[:start] + new + old[end:]
+        region = before[a:start] + new + after(b + int(self.chars[last + self.n]) - end)
+        _, tokens, chars = next(encode.pieces([region.encode()]))
+        self.recoded += len(tokens)
+        if len(tokens) > 2 * LEAF:
+            return self._grow(first, last, chars, tokens)
         for leaf in range(first + 1, last + 1):
             self._set(leaf, 0, 0)
         self._set(first, len(region), int(tokens.sum()))
-        self.recoded += len(tokens)
+
+    def edit(self, start: int, end: int, new: str, encode: Encoder) -> None:
+        """Replace characters ``[start, end)``."""
+        old = self.text
+        self._recode(start, end, old, new, lambda n: old[end:end + n], encode)
+        self.text = old[:start] + new + old[end:]
+
+    def edits(self, edits: list[tuple[int, int, str]], encode: Encoder) -> None:
+        """Edits in ranges of the text as it is, from the last to the first and apart from each other; the text is put together once."""
+        old, upto = self.text, len(self.text)
+        done: list[str] = []  # what stands after ``upto``, last piece first
+
+        def after(n: int) -> str:
+            out = []
+            for piece in reversed(done):
+                if n <= 0:
+                    break
+                out.append(piece[:n])
+                n -= len(out[-1])
+            return "".join(out)
+
+        for start, end, new in edits:
+            done.append(old[end:upto])
+            self._recode(start, end, old, new, after, encode)
+            done.append(new)
+            upto = start
+        self.text = "".join([old[:upto], *reversed(done)])
+
+
+def _heap(leaves: np.ndarray) -> np.ndarray:
+    """The tree of sums over ``leaves``."""
+    leaves = leaves if len(leaves) else np.zeros(1, np.int64)
+    n = 1 << (len(leaves) - 1).bit_length()
+    tree = np.zeros(2 * n, np.int64)
+    tree[n:n + len(leaves)] = leaves
+    level = n
+    while level > 1:
+        tree[level // 2:level] = tree[level:2 * level:2] + tree[level + 1:2 * level:2]
+        level //= 2
+    return tree
 
 
 def clean_edits(edits: list[dict] | None, size: int) -> list[tuple[int, int, str]]:
@@ -100,20 +139,23 @@ def clean_edits(edits: list[dict] | None, size: int) -> list[tuple[int, int, str
 
 
 def build_trees(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", edits: str | None = None) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, text, chars, tokens`` (the tree) and, if named, the column of edits."""
+    """One row per row of ``docs``: ``doc_id, text, chars, tokens`` (the tree) and, if named, the column of edits.
+
+    A null or empty text has a tree of one empty leaf; rows that repeat an id have trees of their own; other columns are left out.
+    """
     return _run(docs, tokenizer, [F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *([F.col(edits).alias("edits")] if edits else [])])
 
 
-def apply_edits(trees: DataFrame, tokenizer: str) -> DataFrame:
-    """``trees`` (with a column ``edits``) after their edits: the same columns, and ``before, after, recoded, segments``.
+def apply_edits(trees: DataFrame, tokenizer: str, find: Callable[[str], list[dict]] | None = None) -> DataFrame:
+    """``trees`` after their edits: the same columns, and ``before, after, recoded, n_edits``.
 
-    ``edits`` are ranges of the text as it was; they are applied from the last to the first. Without edits a document is
-    not touched. A text that holds the string of a special token is counted whole by the tokenizer.
+    Edits are a column ``edits``, or what ``find`` gives for a text: ranges of the text as it was, applied from the last to the
+    first. Without edits a document is not touched. A text that holds the string of a special token is counted whole by the tokenizer.
     """
-    return _run(trees, tokenizer, [F.col(c) for c in ("doc_id", "text", "chars", "tokens", "edits")])
+    return _run(trees, tokenizer, [F.col(c) for c in ("doc_id", "text", "chars", "tokens", *(() if find else ("edits",)))], find)
 
 
-def _run(df: DataFrame, tokenizer: str, columns: list) -> DataFrame:
+def _run(df: DataFrame, tokenizer: str, columns: list, find: Callable[[str], list[dict]] | None = None) -> DataFrame:
     bounded_batches(df.sparkSession)
     own = df.select(*columns)
     given = own.columns
@@ -132,12 +174,12 @@ def _run(df: DataFrame, tokenizer: str, columns: list) -> DataFrame:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             out: dict[str, list] = {f.name: [] for f in schema.fields[1:] if f.name != "edits"}
             if updating:
-                trees = zip(texts, _arrays(batch.column(2)), _arrays(batch.column(3)), batch.column(4).to_pylist())
+                wanted = map(find, texts) if find else batch.column(4).to_pylist()
+                trees = zip(texts, _arrays(batch.column(2)), _arrays(batch.column(3)), wanted)
                 for text, chars, tokens, edits in trees:
                     tree = CountTree(text, chars.copy(), tokens.copy())
                     before, todo = encode.count_whole(text) if encode.is_special(text.encode()) else tree.total(), clean_edits(edits, len(text))
-                    for start, end, new in todo:
-                        tree.edit(start, end, new, encode)
+                    tree.edits(todo, encode)
                     after = encode.count_whole(tree.text) if encode.is_special(tree.text.encode()) else tree.total()
                     for name, value in (("text", tree.text), ("chars", tree.chars), ("tokens", tree.tokens), ("before", before),
                                         ("after", after), ("recoded", tree.recoded), ("n_edits", len(todo))):
@@ -175,12 +217,9 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 MASKED = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b[0-9a-f]{24,}\b|\d{7,}"
 
 
-def masking_edits(docs: DataFrame, text: str = "text", to: str = "[masked]") -> DataFrame:
-    """``docs`` with a column ``edits`` that replaces everything that ``MASKED`` finds."""
-    pattern = re.compile(MASKED, re.ASCII)
+_MASKED = re.compile(MASKED, re.ASCII)
 
-    @F.udf(T.ArrayType(EDIT), useArrow=True)
-    def find(value: str | None):
-        return [(m.start(), m.end(), to) for m in pattern.finditer(value or "")]
 
-    return docs.withColumn("edits", find(F.col(text)))
+def masking(text: str, to: str = "[masked]") -> list[dict]:
+    """The edits that replace everything that ``MASKED`` finds."""
+    return [{"start": m.start(), "end": m.end(), "text": to} for m in _MASKED.finditer(text)]

@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import llm_fixtures as fx
@@ -285,6 +286,40 @@ def test_edited_counts_equal_counting_again(spark):
     assert long["recoded"] < 60 * max(long["n_edits"], 1)
 
 
+def test_many_edits_at_one_place_stay_cheap():
+    """Leaves are split, so an edit encodes no more after thousands of edits than before them."""
+    enc = encoder(queries.vocabulary())
+    text = "some words of a text " * 1_000
+    _, count, size = next(enc.pieces([text.encode()]))
+    tree = token_counts.CountTree.build(text, size, count)
+    costs = []
+    for _ in range(4):
+        before = tree.recoded
+        for k in range(500):
+            tree.edit(9_000, 9_000, f" new{k % 7} words here", enc)
+        costs.append(tree.recoded - before)
+    assert tree.total() == enc.count_whole(tree.text) and max(costs) < 1.5 * costs[0] < 500 * 4 * token_counts.LEAF
+    n = tree.n
+    assert int(tree.chars[n:].max()) < 2_000 and tree.chars[1] == len(tree.text)
+
+
+def test_edits_together_equal_edits_one_by_one():
+    rnd = random.Random(12)
+    enc = encoder(queries.vocabulary())
+    for _ in range(40):
+        text = "".join(rnd.choice(["ab ", "c", " ", "é", "\n", "word's "]) for _ in range(rnd.randint(0, 400)))
+        _, count, size = next(enc.pieces([text.encode()]))
+        edits = token_counts.clean_edits([
+            {"start": x, "end": x + rnd.randint(0, 12), "text": rnd.choice(["", "x", " y z", "\n\nw" * 30])}
+            for x in (rnd.randint(0, len(text) + 1) for _ in range(rnd.randint(0, 30)))], len(text))
+        one, all_ = (token_counts.CountTree.build(text, size, count) for _ in range(2))
+        for e in edits:
+            one.edit(*e, enc)
+        all_.edits(edits, enc)
+        assert one.text == all_.text == brute_edit(text, [{"start": a, "end": b, "text": t} for a, b, t in edits])
+        assert one.total() == all_.total() == enc.count_whole(one.text) and one.recoded == all_.recoded
+
+
 def best_fit(lengths, capacity):
     gaps = []
     for x in sorted(lengths, reverse=True):
