@@ -123,10 +123,13 @@ def scan(
     hits = own.withColumn("hits", F.expr(
         f"IF({some}, filter(transform(words, (w, i) -> struct(i AS pos, w AS word)), x -> x.word IN ({listed})), "
         "CAST(array() AS ARRAY<STRUCT<pos: INT, word: STRING>>))"))
+    # a vote is one number, template and alignment, so that the votes of a long text are told apart by a hash set
+    shift = max(len(t.tokens) for t in templates)
     cases = " ".join(
-        f"WHEN {_sql(w)} THEN array({', '.join(f'struct({k} AS t, x.pos - {i} AS at)' for k, i in listed)})"
+        f"WHEN {_sql(w)} THEN array({', '.join(f'{k << 32}L + x.pos + {shift - i}' for k, i in listed)})"
         for w, listed in index.items())
-    votes = f"array_distinct(flatten(transform(hits, x -> CASE x.word {cases} END)))"
+    votes = (f"transform(array_distinct(flatten(transform(hits, x -> CASE x.word {cases} END))), "
+             f"v -> struct(CAST(shiftright(v, 32) AS INT) AS t, CAST((v & 4294967295L) AS INT) - {shift} AS at))")
     # verify: the key phrase stands at the alignment, word by word among the file's licence words
     keys = "array({})".format(", ".join(
         f"struct({t.key_at} AS at, {len(t.key_tokens)} AS size, {_sql(' '.join(t.key_tokens))} AS key, "

@@ -386,3 +386,12 @@ def test_empty_tables(spark):
                quality.filter_quality(none), mixing.mix(none), mixing.mixture(none), packing.pack(none, queries.vocabulary()),
                chat.digests(chat.examples(empty)), token_counts.build_trees(none, queries.vocabulary())):
         assert df.count() == 0
+
+
+def test_licences_in_very_long_texts_take_linear_time(spark):
+    """A text made of licence words alone: its votes are told apart by a hash set."""
+    docs = spark.createDataFrame([(1, "under the mit license " * 50_000)], "doc_id long, text string")
+    began = time.time()
+    row = license_scan.scan(docs).first()
+    assert (row["n_words"], row["n_base"], row["first_word"], row["last_word"]) == (200_000, 50_000, 0, 199_996)
+    assert time.time() - began < 60
