@@ -6,21 +6,24 @@ import math
 import random
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+import pandas as pd
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playtrace.operators.labels import weight_of_class
-from playtrace.operators.metrics import log_loss
+from playtrace.operators.metrics import log_loss, roc_auc
+from playtrace.operators.model_table import (
+    SCHEMA, best_prefix, kept_places, oof_scores, prefixes, rows_of, score_models, scorer, scorer_of, staged_losses,
+)
+from playtrace.operators.sparse import Places
+from playtrace.plans.skew import reliable
 from playtrace.schema import KEYS, SESSION
 
 #: Stands for a missing feature value; tree learners here reject NaN.
@@ -44,15 +47,17 @@ class ModelSpec:
     early_stop: bool = False
 
     def pipeline(self, level: int, n_features: int, names: Sequence[str] = ()) -> Pipeline:
-        place = {name: i for i, name in enumerate(names)}
-        out = {place[x] if isinstance(x, str) else x for x in self.dropped.get(level, ()) if not isinstance(x, str) or x in place}
-        kept = [i for i in range(n_features) if i not in out]
+        dropped = [x for x in self.dropped.get(level, ()) if not isinstance(x, str) or x in names]
+        out = {names.index(x) if isinstance(x, str) else x for x in dropped}
         settings = {**self.params, **self.level_params.get(level, {})}
-        learner = ESTIMATORS[self.estimator](labelCol="correct", featuresCol="kept", **settings)
+        learner = ESTIMATORS[self.estimator](labelCol="correct", featuresCol="kept" if out else "features", **settings)
         if self.balanced:
             learner = learner.setWeightCol("weight")
         if self.early_stop and isinstance(learner, GBTClassifier):
             learner = learner.setValidationIndicatorCol("is_valid")
+        if not out:
+            return Pipeline(stages=[learner])
+        kept = [i for i in range(n_features) if i not in out]
         return Pipeline(stages=[VectorSlicer(inputCol="features", outputCol="kept", indices=kept), learner])
 
 
@@ -93,9 +98,14 @@ def fit_levels(
     """
     n_features = _width(rows)
 
-    def fit(job: tuple[int, int]) -> PipelineModel:
-        level, fold = job
-        mine = rows.where(F.col("level") == level)
+    def fit(level: int) -> dict[tuple[int, int], PipelineModel]:
+        mine = rows.where(F.col("level") == level).persist(StorageLevel.MEMORY_AND_DISK)  # read once for all folds
+        try:
+            return {(level, fold): fit_fold(mine, level, fold) for fold in folds}
+        finally:
+            mine.unpersist()
+
+    def fit_fold(mine: DataFrame, level: int, fold: int) -> PipelineModel:
         held_out = F.col("fold") == fold
         train = mine.where(~held_out)
         if spec.balanced:
@@ -106,49 +116,24 @@ def fit_levels(
             train = train.withColumn("is_valid", F.lit(False)).unionByName(valid.withColumn("is_valid", F.lit(True)))
         return spec.pipeline(level, n_features, names).fit(train)
 
-    jobs = [(level, fold) for level in levels for fold in folds]
-    return dict(zip(jobs, _side_by_side(rows.sparkSession, jobs, fit, parallelism)))
-
-
-def predicted(model: Model, rows: DataFrame) -> DataFrame:
-    return model.transform(rows).withColumn("p", vector_to_array("probability")[1])
-
-
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+    fitted = {}
+    for own in _side_by_side(rows.sparkSession, list(levels), fit, parallelism):
+        fitted |= own
+    return fitted
 
 
 def oof_predict(rows: DataFrame, models: dict[tuple[int, int], PipelineModel], name: str) -> DataFrame:
     """Predictions of each model on its held-out fold: ``session, level, fold, model, y, p``.
 
-    A question's rows are read once and pass through all of its folds' models, each of which answers for its own fold.
+    One pass over the rows, each of which is answered by the model of its own question and fold.
     """
-    parts = []
-    for level in dict.fromkeys(level for level, _ in models):
-        own = {fold: model for (at, fold), model in models.items() if at == level}
-        scored = _chained(rows.where((F.col("level") == level) & F.col("fold").isin(list(own))), list(own.values()))
-        p = reduce(lambda rest, k: F.when(F.col("fold") == k[1], F.col(f"_p{k[0]}")).otherwise(rest), enumerate(own), F.lit(None).cast("double"))
-        parts.append(scored.select("session", "level", "fold", F.lit(name).alias("model"), F.col("correct").alias("y"), p.alias("p")))
-    return _union(parts)
-
-
-def _chained(rows: DataFrame, models: Sequence[Model]) -> DataFrame:
-    """``rows`` with the probability of each model as ``_p0, _p1, ...``: one pass over the rows for all models."""
-    keep = list(rows.columns)
-    for k, model in enumerate(models):
-        rows = predicted(model, rows).withColumnRenamed("p", f"_p{k}")
-        keep.append(f"_p{k}")
-        rows = rows.select(*keep)
-    return rows
+    return oof_scores(rows, scorer_of(models, name, _width(rows), rows.sparkSession))
 
 
 def predict_all_folds(vectors: DataFrame, models: dict[tuple[int, int], PipelineModel], name: str) -> DataFrame:
     """Predictions of every fold's model for new sessions: ``session, level, fold, model, p``. The vectors are read once."""
-    scored = _chained(vectors.withColumnRenamed(SESSION, "session"), list(models.values()))
-    answers = F.array(*[
-        F.struct(F.lit(level).alias("level"), F.lit(fold).alias("fold"), F.col(f"_p{k}").alias("p"))
-        for k, (level, fold) in enumerate(models)])
-    return scored.select("session", F.inline(answers)).withColumn("model", F.lit(name)).select("session", "level", "fold", "model", "p")
+    scored = score_models(vectors, [scorer_of(models, name, _width(vectors), vectors.sparkSession)])
+    return scored.select("session", "level", "fold", "model", "p")
 
 
 def gains(
@@ -157,9 +142,7 @@ def gains(
     """Importance of the features that each model uses: ``level, fold, feature, gain``. One small vector per model."""
     out = []
     for (level, fold), model in models.items():
-        slicer, learner = model.stages
-        kept = slicer.getIndices()
-        found = learner.featureImportances
+        kept, found = kept_places(model, len(names)), model.stages[-1].featureImportances
         out += [(level, fold, names[kept[int(i)]], float(v)) for i, v in zip(found.indices, found.values)]
     return spark.createDataFrame(out, "level int, fold int, feature string, gain double")
 
@@ -223,29 +206,82 @@ def draw(space: dict[str, tuple], rng: random.Random) -> dict:
     return {name: one(*bounds) for name, bounds in space.items()}
 
 
+def _settings(trial: dict, seed: int) -> dict:
+    """A trial as parameters of the boosted learner."""
+    own = {k: v for k, v in trial.items() if k != "featureSubset"}
+    if "featureSubset" in trial:
+        own["featureSubsetStrategy"] = f"{trial['featureSubset']:.6f}"
+    return {**own, "seed": seed}
+
+
 def hyperparam_search(
-    rows: DataFrame, level: int, n_trials: int = 100, space: dict[str, tuple] = SEARCH_SPACE, n_folds: int = 5,
-    seed: int = 42, parallelism: int = 4,
+    rows: DataFrame, levels: Sequence[int], n_trials: int = 100, space: dict[str, tuple] = SEARCH_SPACE, n_folds: int = 5,
+    seed: int = 42, parallelism: int = 4, keep: float = 1 / 3, budgets: Sequence[float] = (0.1, 0.3, 1.0),
 ) -> DataFrame:
-    """Random search by mean AUC over the group folds: one row per trial, ``best`` on the first maximum."""
+    """Random search by mean AUC over the group folds, all questions side by side, by successive halving.
+
+    In each rung the trials that a question has left are fitted with a share of their trees (``budgets``); the best ``keep`` of them, by
+    AUC, then by number, go on. One row per question, rung and trial: ``level, rung, trial, params, auc, best``; ``best`` marks the
+    first maximum of a question's last rung. All models of a rung are scored in one pass over the rows.
+    """
     rng = random.Random(seed)
     trials = [draw(space, rng) for _ in range(n_trials)]
-    learner = GBTClassifier(labelCol="correct", featuresCol="features", seed=seed)
-
-    def as_param_map(trial: dict) -> dict:
-        plain = {learner.getParam(k): v for k, v in trial.items() if k != "featureSubset"}
-        if "featureSubset" in trial:
-            plain[learner.featureSubsetStrategy] = f"{trial['featureSubset']:.6f}"
-        return plain
-
-    cv = CrossValidator(
-        estimator=learner, estimatorParamMaps=[as_param_map(t) for t in trials], numFolds=n_folds, foldCol="fold",
-        evaluator=BinaryClassificationEvaluator(labelCol="correct", metricName="areaUnderROC"), parallelism=parallelism)
-    auc = cv.fit(rows.where(F.col("level") == level)).avgMetrics
-    best = auc.index(max(auc))
-    table = [(level, i, {k: float(v) for k, v in t.items()}, float(a), i == best) for i, (t, a) in enumerate(zip(trials, auc))]
-    return rows.sparkSession.createDataFrame(
-        table, "level int, trial int, params map<string,double>, auc double, best boolean")
+    left = {level: list(range(n_trials)) for level in levels}
+    n_features, spark = _width(rows), rows.sparkSession
+    table = []
+    for rung, budget in enumerate(budgets):
+        nodes: list[tuple] = []
+        for t, trial in enumerate(trials):
+            asked = [level for level in levels if t in left[level]]
+            if not asked:
+                continue
+            own = _settings(trial, seed)
+            own["maxIter"] = max(1, math.ceil(own.get("maxIter", 20) * budget))
+            models = fit_levels(rows, ModelSpec(f"trial{t}", "gbt", own), asked, range(n_folds), parallelism)
+            nodes += rows_of(models, f"trial{t}", Places(n_features), spark)
+        scored = oof_scores(rows, scorer(pd.DataFrame(nodes, columns=SCHEMA.names), Places(n_features)))
+        by_fold = roc_auc(scored, ["level", "model", "fold"])
+        found = {(r["level"], int(r["model"].removeprefix("trial"))): r["auc"] or 0.0 for r in
+                 by_fold.groupBy("level", "model").agg(F.avg("auc").alias("auc")).collect()}  # one row per question and trial
+        last = rung == len(budgets) - 1
+        for level in levels:
+            order = sorted(left[level], key=lambda t: (-found[level, t], t))
+            table += [(level, rung, t, {k: float(v) for k, v in trials[t].items()}, float(found[level, t]), last and t == order[0])
+                      for t in left[level]]
+            left[level] = sorted(order[:max(1, math.ceil(len(order) * keep))])
+    return spark.createDataFrame(
+        table, "level int, rung int, trial int, params map<string,double>, auc double, best boolean")
+
+
+def validation_rows(rows: DataFrame, inner: float | None = None, n_folds: int = 5, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """``(rows to train on, rows to choose trees by)``.
+
+    Trees are chosen by the held-out fold itself, or, with ``inner``, by about that share of each fit's training sessions, which
+    the fit then does not see: a session is drawn by its hash for all questions. Drawn rows stand once for each fold but their own.
+    """
+    if inner is None:
+        return rows, rows
+    drawn = F.pmod(F.xxhash64(F.lit(seed), "session"), F.lit(1_000_000)) < int(inner * 1_000_000)
+    others = F.array_remove(F.array(*[F.lit(k) for k in range(n_folds)]), F.col("fold"))
+    return rows.where(~drawn), rows.where(drawn).withColumn("fold", F.explode(others))
+
+
+def fit_patient(
+    rows: DataFrame, spec: ModelSpec, levels: Sequence[int], folds: Sequence[int], patience: int | None = 50,
+    inner: float | None = None, parallelism: int = 4, names: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """``(model table, best prefixes)`` of boosted models that keep the trees up to their best loss.
+
+    Models are fitted with all their trees; the losses of all prefixes of all models come from one pass over the rows that
+    choose. ``patience`` ends the search after so many trees without a better loss, as if fitting had stopped there.
+    """
+    train, valid = validation_rows(rows, inner, len(folds))
+    names = names or Places(_width(rows))
+    models = fit_levels(train, spec, levels, folds, parallelism, names)
+    nodes = rows_of(models, spec.name, names, rows.sparkSession)
+    valid = valid.where(F.col("level").isin(list(levels)) & F.col("fold").isin(list(folds)))
+    best = reliable(best_prefix(staged_losses(valid, scorer(pd.DataFrame(nodes, columns=SCHEMA.names), names)), patience))
+    return prefixes(rows.sparkSession.createDataFrame(nodes, SCHEMA), best), best
 
 
 def feature_names(features: DataFrame) -> list[str]:

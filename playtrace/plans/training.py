@@ -8,23 +8,23 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playtrace.operators import labels as L
-from playtrace.operators.features import (
-    carry_forward, feature_columns, kept_features, original_names, prune_features, select_features, session_features,
-    wide_values,
-)
+from playtrace.operators.features import carry_forward
 from playtrace.operators.metrics import best_threshold, threshold_sweep
+from playtrace.operators.model_table import Scorer, model_table, score_models, scorers
 from playtrace.operators.modelsel import mean_importance, top_half
+from playtrace.operators.sparse import Places, block, numbered, pack, profile, pruned, read_vectors, vectors
 from playtrace.operators.stacking import apply_stack, ensemble_score, ridge_stack
-from playtrace.operators.training import (
-    ModelSpec, feature_vector, fit_levels, gains, model_rows, oof_predict, predict_all_folds,
-)
+from playtrace.operators.training import ModelSpec, fit_levels, gains, model_rows, oof_predict
 from playtrace.operators.vocab import build_vocab
 from playtrace.plans.skew import CHECK
 from playtrace.schema import PHASE, PHASES
 from playtrace.sources import tables as S
-from playtrace.sources.models import load_models, save_models
+
+#: Columns of the rows of a fit, before their vector.
+MODEL_ROW = [T.StructField("session", T.LongType()), *[T.StructField(c, T.IntegerType()) for c in ("level", "fold", "correct")]]
 
 
 @dataclass(frozen=True)
@@ -45,6 +45,10 @@ class Layout:
     def catalog(self) -> str:
         return f"{self.root}/catalog"
 
+    @property
+    def packed(self) -> str:
+        return f"{self.root}/packed"
+
     @property
     def carried(self) -> str:
         return f"{self.root}/carried"
@@ -74,24 +78,25 @@ class Layout:
         return f"{self.root}/scores"
 
 
-def prepare_features(events: DataFrame, out: Layout, hot=CHECK, null_ratio: float = 0.9) -> dict[str, list[str]]:
-    """Vocabulary, features per phase, catalogue and carried features as tables; returns the carried columns."""
+def prepare_features(events: DataFrame, out: Layout, hot=CHECK, null_ratio: float = 0.9) -> list[int]:
+    """Vocabulary, features per phase, catalogue and carried vectors as tables; returns the number of features of each phase.
+
+    Features stay tall until they are numbered: the vocabulary may have any size.
+    """
     spark = events.sparkSession
     S.write_vocab(build_vocab(events), out.vocab)
-    vocab = S.read_table(spark, out.vocab)
-    pruned = {}
+    packed, widths = {}, []
     for i, phase in enumerate(PHASES):
-        S.write_features(session_features(events, phase, vocab, hot=hot), f"{out.features}/phase={i}")
-        features = S.read_table(spark, f"{out.features}/phase={i}")
-        catalog_path = f"{out.catalog}/phase={i}"
-        originals = original_names(wide_values(vocab, phase))
-        S.write_table(prune_features(features, phase, null_ratio, originals), catalog_path)
-        pruned[phase] = select_features(features, kept_features(S.read_table(spark, catalog_path), phase))
-    names = {}
-    for phase, carried in carry_forward(pruned).items():
-        S.write_features(carried, f"{out.carried}/phase={PHASES.index(phase)}")
-        names[phase] = feature_columns(carried)
-    return names
+        S.write_features(block(events, phase, hot), f"{out.features}/phase={i}")
+        rows = S.read_table(spark, f"{out.features}/phase={i}")
+        S.write_table(numbered(pruned(profile(rows), null_ratio)), f"{out.catalog}/phase={i}")
+        catalog = S.read_table(spark, f"{out.catalog}/phase={i}")
+        S.write_table(pack(rows, catalog), f"{out.packed}/phase={i}")
+        packed[phase] = S.read_table(spark, f"{out.packed}/phase={i}")
+        widths.append(catalog.where("kept").count())
+    for i, carried in enumerate(carry_forward(packed).values()):
+        S.write_features(vectors(carried, widths[:i + 1]), f"{out.carried}/phase={i}")
+    return widths
 
 
 def best_scores(oof: DataFrame, scope: str, y: str = "y", p: str = "p") -> DataFrame:
@@ -129,27 +134,27 @@ def train(
     parsed = parsed.join(L.group_folds(parsed, k=n_folds, seed=seed), "session")
     S.write_folds(parsed, out.labels)
     parsed = S.read_table(spark, out.labels)
-    names = prepare_features(events, out, hot)
+    widths = prepare_features(events, out, hot)
     for i, phase in enumerate(PHASES):
         mine = parsed.where(F.col(PHASE) == phase)
         asked = sorted(r["level"] for r in mine.select("level").distinct().collect())
         if not asked:
             continue
-        vectors = feature_vector(S.read_table(spark, f"{out.carried}/phase={i}"), names[phase])
+        names = Places(sum(widths[:i + 1]))
         rows_path = f"{out.rows}/phase={i}"
-        S.write_table(model_rows(mine, vectors), rows_path, ["level"])
-        rows = S.read_table(spark, rows_path)
+        S.write_table(model_rows(mine, S.read_table(spark, f"{out.carried}/phase={i}")), rows_path, ["level"])
+        rows = read_vectors(spark, rows_path, MODEL_ROW)
 
         def fit(spec: ModelSpec):
-            models = fit_levels(rows, spec, asked, range(n_folds), parallelism, names[phase])
-            save_models(models, out.models, spec.name)
+            models = fit_levels(rows, spec, asked, range(n_folds), parallelism, names)
+            S.write_table(model_table(models, spec.name, names, spark), f"{out.models}/model={spec.name}/phase={i}")
             S.write_table(oof_predict(rows, models, spec.name), f"{out.oof}/model={spec.name}/phase={i}")
             return models
 
         for spec in specs:
             models = fit(spec)
             if spec.name in halved:
-                fit(without_lower_half(spec, mean_importance(gains(models, names[phase], spark)), names[phase], asked))
+                fit(without_lower_half(spec, mean_importance(gains(models, names, spark)), names, asked))
     oof = S.read_table(spark, out.oof)
     inputs = model_names(specs, halved)
     for name in inputs:
@@ -166,28 +171,31 @@ class StoredRun:
 
     def __init__(self, spark: SparkSession, out: Layout, models: Sequence[str], n_folds: int = 5):
         self.out, self.models, self.n_folds = out, list(models), n_folds
-        self.vocab = S.read_table(spark, out.vocab)
-        self.kept = {p: kept_features(S.read_table(spark, f"{out.catalog}/phase={i}"), p) for i, p in enumerate(PHASES)}
-        self.names = {p: feature_columns(S.read_table(spark, f"{out.carried}/phase={i}")) for i, p in enumerate(PHASES)}
+        self.catalogs = {p: S.read_table(spark, f"{out.catalog}/phase={i}") for i, p in enumerate(PHASES)}
+        self.widths = [c.where("kept").count() for c in self.catalogs.values()]
         asked = S.read_table(spark, out.labels).select(PHASE, "level").distinct().collect()  # one row per question
         self.levels = {p: sorted(r["level"] for r in asked if r[PHASE] == p) for p in PHASES}
         stack = S.read_table(spark, out.scores).where((F.col("scope") == "stack") & F.col("level").isNull())
         self.threshold = stack.first()["threshold"]
-        self.loaded: dict[str, dict] = {}
+        self.passes: dict[str, list[Scorer]] = {}
 
     def features(self, events: DataFrame, phase: str, hot=CHECK) -> DataFrame:
-        """The run's features of one phase for new events."""
-        return select_features(session_features(events, phase, self.vocab, hot=hot), self.kept[phase])
+        """The run's features of one phase for new events: places and values of those that the catalogue keeps."""
+        return pack(block(events, phase, hot), self.catalogs[phase])
 
     def predict(self, carried: DataFrame, phase: str) -> DataFrame:
-        """``session, level, p, correct`` for carried rows of one phase: the mean of all folds, stacked, over the threshold."""
-        if phase not in self.loaded:
-            keys = [(level, fold) for level in self.levels[phase] for fold in range(self.n_folds)]
-            self.loaded[phase] = {m: load_models(self.out.models, m, keys) for m in self.models}
-        vectors = feature_vector(carried, self.names[phase])
-        parts = [predict_all_folds(vectors, models, name) for name, models in self.loaded[phase].items()]
-        stackers = S.read_table(carried.sparkSession, self.out.stackers)
-        return ensemble_score(reduce(DataFrame.unionByName, parts), stackers, self.models, self.threshold)
+        """``session, level, p, correct`` for carried rows of one phase: the mean of all folds, stacked, over the threshold.
+
+        All questions, folds and models are scored in one pass over the rows.
+        """
+        spark, widths = carried.sparkSession, self.widths[:PHASES.index(phase) + 1]
+        if phase not in self.passes:
+            keys = F.col("level").isin(self.levels[phase]) & F.col("model").isin(self.models) & (F.col("fold") < self.n_folds)
+            table = spark.read.parquet(*[f"{self.out.models}/model={m}/phase={PHASES.index(phase)}" for m in self.models])
+            self.passes[phase] = scorers(table.where(keys), Places(sum(widths)))
+        predictions = score_models(vectors(carried, widths), self.passes[phase])
+        stackers = S.read_table(spark, self.out.stackers)
+        return ensemble_score(predictions, stackers, self.models, self.threshold)
 
 
 def score(run: StoredRun, events: DataFrame, hot=CHECK) -> DataFrame:

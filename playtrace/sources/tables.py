@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from playtrace.schema import EVENT_SCHEMA, LABEL_SCHEMA, PHASE
+from playtrace.schema import EVENT_SCHEMA, LABEL_SCHEMA, PHASE, SESSION
 
 
 #: The column that holds the text of a row that does not fit the schema.
@@ -82,6 +82,17 @@ def write_vocab(vocab: DataFrame, path: str) -> None:
     write_table(vocab, path, [PHASE] if PHASE in vocab.columns else [])
 
 
+def write_bucketed(
+    df: DataFrame, name: str, path: str, buckets: int = 16, by: Sequence[str] = (SESSION,),
+) -> DataFrame:
+    """``df`` as the table ``name`` in the folder ``path``, in sorted buckets of its sessions, read back.
+
+    Tables with the same number of buckets join by session without a shuffle or a sort of either side.
+    """
+    (df.repartition(buckets, *by).write.mode("overwrite").option("path", path).bucketBy(buckets, *by).sortBy(*by).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def write_catalog(catalog: DataFrame, path: str) -> None:
     write_table(catalog, path, [PHASE])
 

@@ -95,3 +95,22 @@ def test_null_keys_survive_the_split(spark):
     usual = skew.with_running_sum(df, ["k"], ["v"], F.col("v"), "s", "t", hot=None)
     hot = skew.find_hot(df, ["k"], 1)
     same(usual, skew.with_running_sum(df, ["k"], ["v"], F.col("v"), "s", "t", hot=hot))
+
+
+def test_stored_buckets_are_carried_forward_without_a_shuffle(spark, tmp_path):
+    from playtrace.operators.features import carry_forward
+    from playtrace.sources.tables import write_bucketed
+
+    rows = spark.createDataFrame([(s, p, float(s)) for s in range(50) for p in ("0-4", "5-12", "13-22")], "session_id long, level_group string, x double")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = {p: write_bucketed(rows.where(F.col("level_group") == p), f"test_buckets_{i}", f"{tmp_path}/{i}", 4) for i, p in enumerate(("0-4", "5-12", "13-22"))}
+        carried = carry_forward(stored)["13-22"]
+        plan = carried._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert sorted(tuple(r) for r in carried.collect()) == [(s, float(s), float(s), float(s)) for s in range(50)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        for i in range(3):
+            spark.sql(f"DROP TABLE IF EXISTS test_buckets_{i}")

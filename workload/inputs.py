@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playtrace.functions.columns import level_phase
 from playtrace.operators.labels import assign_phase, parse_labels
-from playtrace.plans.skew import by_heat, find_hot, with_row_number
+from playtrace.plans.skew import bounded_broadcast, by_heat, find_hot, with_row_number
 from playtrace.schema import SESSION
 
 TEXTS = [
@@ -48,7 +48,7 @@ def event_log(spark: SparkSession, sf_dir: str, variant: str = "plain") -> tuple
 
     def heavy(d: DataFrame) -> DataFrame:
         numbered = with_row_number(d, ["user_id"], ["event_id"], "_rn", total="n", hot=hot)
-        return numbered.join(F.broadcast(d.groupBy("user_id").agg(F.min("ms").alias("start"))), "user_id")
+        return numbered.join(bounded_broadcast(d.groupBy("user_id").agg(F.min("ms").alias("start"))), "user_id")
 
     b = by_heat(e, ["user_id"], hot, ordinary, heavy).withColumn("idx", (F.col("_rn") - 1).cast("int"))
     n, idx, k, value = F.col("n").cast("int"), F.col("idx"), F.col("k"), F.col("value")

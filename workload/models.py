@@ -6,8 +6,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from playtrace.functions.arrays import pad_left, pad_right
+from playtrace.operators import cooccurrence as C
 from playtrace.operators import labels as L
 from playtrace.operators import metrics as M
+from playtrace.operators import model_table as X
 from playtrace.operators import sequences as Q
 from playtrace.operators import stacking as K
 from playtrace.operators import stats as A
@@ -108,9 +110,9 @@ def _embedding_sql(n: int, weight: str) -> str:
     return GLOG + _VECTORS + (
         f", w AS (SELECT session_id, k, {weight} AS weight FROM tail WHERE tail_rank <= {n})"
         ", emb AS (SELECT w.session_id, CAST(i - 1 AS INT) AS dim, sum(weight*x)/sum(weight) AS value"
-        " FROM w JOIN unitv ON unitv.vec_id = w.k AND w.k % 10 < 4 GROUP BY w.session_id, i"
+        " FROM w JOIN unitv ON unitv.vec_id = w.k GROUP BY w.session_id, i"
         " UNION ALL SELECT session_id, NULL, NULL FROM (SELECT DISTINCT session_id FROM w) WHERE session_id NOT IN"
-        " (SELECT session_id FROM w JOIN embeddings ON vec_id = k WHERE k % 10 < 4))")
+        " (SELECT session_id FROM w JOIN embeddings ON vec_id = k))")
 
 
 _RECENCY = "(count(*) OVER (PARTITION BY session_id) - tail_rank + 1)*1.0e0/count(*) OVER (PARTITION BY session_id)"
@@ -118,8 +120,7 @@ _RECENCY = "(count(*) OVER (PARTITION BY session_id) - tail_rank + 1)*1.0e0/coun
 
 def event_embedding(spark, sf, n, weighted):
     log, _ = event_log(spark, sf)
-    known = table(spark, sf, "embeddings").where(F.col("vec_id") % 10 < 4)  # the other tokens are unknown to the model
-    return Q.tail_embedding(log, known, "k", n, weighted, word="vec_id", vector="embedding")
+    return Q.tail_embedding(log, table(spark, sf, "embeddings"), "k", n, weighted, word="vec_id", vector="embedding")
 
 
 def by_dimension(embeddings):
@@ -150,29 +151,49 @@ def train_embedding(spark, sf):
     return vectors.select("word", F.size("v").alias("dims"), F.forall("v", lambda x: ~F.isnan(x) & (F.abs(x) < 1e6)).alias("finite"))
 
 
-@query("similar_tokens", GLOG + ", t AS (SELECT DISTINCT room_fqid AS token FROM glog WHERE room_fqid IS NOT NULL)"
-       " SELECT token, least(5, (SELECT count(*) FROM t) - 1) AS n, true AS others, true AS cosine FROM t")
+@query("similar_tokens", "WITH c AS (SELECT a.vec_id AS token, b.vec_id AS word, list_cosine_similarity(CAST(a.embedding AS DOUBLE[]),"
+       " CAST(b.embedding AS DOUBLE[])) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)"
+       ", rk AS (SELECT *, row_number() OVER (PARTITION BY token ORDER BY similarity DESC, word) AS rank FROM c)"
+       " SELECT token, word, " + r("similarity", "similarity", 6) + ", CAST(rank AS INT) AS rank FROM rk WHERE rank <= 5")
 def similar_tokens(spark, sf):
-    """The nearest tokens of every room; which ones they are depends on the training."""
+    """The nearest tokens of every token of a table of vectors."""
+    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("word"), F.col("embedding").alias("vector"))
+    return rounded(Q.similar_tokens(vectors), 6)
+
+
+_WINDOW = 5
+
+
+@query("token_information", GLOG + ", t AS (SELECT session_id, room_fqid AS token, row_number() OVER (PARTITION BY session_id"
+       " ORDER BY \"index\", elapsed_time, event_id) AS i FROM glog WHERE room_fqid IS NOT NULL)"
+       f", p AS (SELECT x.token AS a, y.token AS b FROM t x JOIN t y ON x.session_id = y.session_id AND y.i BETWEEN x.i + 1 AND x.i + {_WINDOW})"
+       ", c AS (SELECT a, b, count(*) AS n FROM (SELECT a, b FROM p UNION ALL SELECT b, a FROM p) GROUP BY a, b)"
+       ", s AS (SELECT a, sum(n) AS s FROM c GROUP BY a)"
+       " SELECT c.a, c.b, c.n, " + r("greatest(0.0e0, ln(c.n*1.0e0*(SELECT sum(n) FROM c)/(sa.s*sb.s)))", "m", 6)
+       + " FROM c JOIN s sa ON sa.a = c.a JOIN s sb ON sb.a = c.b")
+def token_information(spark, sf):
+    """Co-occurrence counts of the rooms and their positive information, from which token vectors are factored."""
     log, hot = event_log(spark, sf)
-    model = Q.train_embedding(log, "room_fqid", hot=hot)
-    tokens = [x["word"] for x in model.getVectors().select("word").collect()]  # one row per room
-    near = Q.similar_tokens(model, tokens, 5)
-    return near.groupBy("token").agg(
-        F.count_distinct("word").alias("n"), F.bool_and(F.col("word") != F.col("token")).alias("others"),
-        F.bool_and(F.abs("similarity") <= 1.000001).alias("cosine"))
+    counts = C.pair_counts(log, "room_fqid", _WINDOW, hot=hot)
+    m = C.positive_information(counts)
+    return rounded(counts.join(m, ["a", "b"], "left").select("a", "b", "n", F.coalesce("m", F.lit(0.0)).alias("m")), 6)
 
 
-_QUERY_IDS = [0, 1, 2, 3, 4]
+@query("token_vectors", GLOG + "SELECT DISTINCT fqid AS word, 8 AS dims, true AS finite FROM glog WHERE fqid IS NOT NULL")
+def token_vectors(spark, sf):
+    """Vectors factored from the counts; tests hold them against a dense factorisation."""
+    log, hot = event_log(spark, sf)
+    vectors = C.token_vectors(log, "fqid", hot=hot)
+    return vectors.select("word", F.size("vector").alias("dims"), F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < 1e6)).alias("finite"))
 
 
-@query("nearest_vectors", "WITH q AS (SELECT vec_id AS token, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IN (0, 1, 2, 3, 4))"
+@query("nearest_vectors", "WITH q AS (SELECT vec_id AS token, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 100 = 0)"
        ", c AS (SELECT token, vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), e) AS similarity FROM embeddings"
        " CROSS JOIN q WHERE vec_id <> token)"
        ", rk AS (SELECT *, row_number() OVER (PARTITION BY token ORDER BY similarity DESC, vec_id) AS rank FROM c)"
        " SELECT token, vec_id, " + r("similarity", "similarity", 6) + ", CAST(rank AS INT) AS rank FROM rk WHERE rank <= 5")
 def nearest_vectors(spark, sf):
-    return rounded(Q.nearest_vectors(table(spark, sf, "embeddings"), _QUERY_IDS, 5, "vec_id", "embedding"), 6)
+    return rounded(Q.nearest_vectors(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, 5, "vec_id", "embedding"), 6)
 
 
 # Folds, training and selection.
@@ -198,7 +219,7 @@ _FOLDED = ", fl AS (SELECT lab.*, folds.fold FROM lab JOIN folds ON folds.sessio
 
 def training_rows(spark, sf):
     """Rows for the fits, stored by question: numeric statistics of all phases so far. Made once per session and input."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _ROWS:
         log, hot = event_log(spark, sf)
         d = with_differences(log, hot)
@@ -216,7 +237,7 @@ def training_rows(spark, sf):
 
 def fitted(spark, sf, spec):
     """Models of all questions and folds; queries on the same input share them."""
-    key = (id(spark), sf, spec.name)
+    key = (spark.sparkContext.applicationId, sf, spec.name)
     if key not in _FITS:
         _FITS[key] = T.fit_levels(training_rows(spark, sf)[0], spec, LEVELS, range(N_FOLDS), 8)
     return _FITS[key]
@@ -234,16 +255,16 @@ def fit_per_level(spark, sf):
 
 
 @query("early_stop", "WITH " + LABELS + FOLDS + _FOLDED
-       + "SELECT level, fold, count(*) AS n, true AS stopped FROM fl WHERE fold = 0 GROUP BY level, fold")
+       + "SELECT level, fold, count(*) AS n, true AS stopped, true AS kept FROM fl GROUP BY level, fold")
 def early_stop(spark, sf):
-    """The rows of the held-out fold, and whether no more trees were kept than allowed."""
+    """The rows that choose each model's trees, whether it stops where patience ends, and whether no other trees are kept."""
     rows, _ = training_rows(spark, sf)
-    spec = T.ModelSpec("stopped", "gbt", {"maxIter": 3, "maxDepth": 2, "validationTol": 0.05, "seed": 42}, early_stop=True)
-    models = T.fit_levels(rows, spec, LEVELS, [0], 8)
-    trees = spark.createDataFrame(
-        [(level, fold, m.stages[1].getNumTrees) for (level, fold), m in models.items()], "level int, fold int, n_trees int")
-    out = T.oof_predict(rows, models, spec.name).groupBy("level", "fold").agg(F.count("p").alias("n"))
-    return out.join(F.broadcast(trees), ["level", "fold"]).select("level", "fold", "n", F.col("n_trees").between(1, 3).alias("stopped"))
+    spec = T.ModelSpec("stopped", "gbt", {"maxIter": 4, "maxDepth": 2, "seed": 42})
+    models, best = T.fit_patient(rows, spec, LEVELS, range(N_FOLDS), patience=1, parallelism=8)
+    trees = models.groupBy("level", "fold").agg(F.count_distinct("tree").alias("n_trees"))
+    n = rows.groupBy("level", "fold").agg(F.count(F.lit(1)).alias("n"))
+    out = n.join(best, ["level", "fold"]).join(trees, ["level", "fold"])
+    return out.select("level", "fold", "n", F.col("trees").between(1, 4).alias("stopped"), (F.col("n_trees") == F.col("trees")).alias("kept"))
 
 
 @query("oof_predict", "WITH " + LABELS + FOLDS + _FOLDED
@@ -273,18 +294,17 @@ def evaluate_oof(spark, sf):
     return n.join(best, n["level"].eqNullSafe(best["level"])).select(n["level"], "n", F.col("n_best").cast("int").alias("n_best"), "in_range")
 
 
-@query("save_load_models", "WITH " + LABELS + FOLDS + _FOLDED + "SELECT session, level, fold, true AS same FROM fl WHERE fold = 0")
+@query("save_load_models", "WITH " + LABELS + FOLDS + _FOLDED + "SELECT session, level, fold, true AS same FROM fl")
 def save_load_models(spark, sf):
-    """Stored models answer as the fitted ones do."""
-    rows, _ = training_rows(spark, sf)
+    """Models of all questions and folds, stored as one table and read back, answer as the fitted ones do."""
+    rows, names = training_rows(spark, sf)
     path = scratch(spark, "models")
-    models = {key: model for key, model in fitted(spark, sf, SPECS[1]).items() if key[1] == 0}  # one fold's
-    SM.save_models(models, path, "logistic")
-    loaded = SM.load_models(path, "logistic", models)
+    models = fitted(spark, sf, SPECS[1])
+    SM.save_table(X.model_table(models, "logistic", names, spark), path)
     before = T.oof_predict(rows, models, "logistic").withColumnRenamed("p", "p_fitted")
-    after = T.oof_predict(rows, loaded, "logistic").withColumnRenamed("p", "p_loaded")
+    after = X.oof_scores(rows, X.scorers(SM.load_table(spark, path, ["logistic"]), names)[0]).withColumnRenamed("p", "p_loaded")
     both = before.join(after, ["session", "level", "fold", "model", "y"])
-    return both.select("session", "level", "fold", (F.col("p_fitted") == F.col("p_loaded")).alias("same"))
+    return both.select("session", "level", "fold", (F.abs(F.col("p_fitted") - F.col("p_loaded")) < 1e-12).alias("same"))
 
 
 @query("gain_selection", "SELECT CAST(unnest(range(1, 19)) AS INT) AS level, true AS half, true AS ranked, true AS largest")
@@ -300,28 +320,30 @@ def gain_selection(spark, sf):
         (F.col("least") >= F.col("most")).alias("largest"))
 
 
-@query("drop_column_selection", "SELECT 1 AS level, true AS marked, unnest(["
-       + ", ".join(f"'{c}'" for c in NUMERIC) + "]) AS feature")
+@query("drop_column_selection", "SELECT CAST(unnest(range(1, 19)) AS INT) AS level, true AS marked, f.feature FROM (SELECT unnest(["
+       + ", ".join(f"'{c}'" for c in NUMERIC) + "]) AS feature) f")
 def drop_column_selection(spark, sf):
-    """Every group of a question, marked where leaving it out lowers the loss. Selection goes question by question."""
+    """Every group of every question, marked where leaving it out lowers the loss on the fold that is held out."""
     rows, names = training_rows(spark, sf)
     groups = {c: [i for i, n in enumerate(names) if c in n] for c in NUMERIC}
     spec = T.ModelSpec("logistic", "logistic", {"maxIter": 2, "regParam": 0.1})
-    out = T.drop_column_selection(rows, names, spec, LEVELS[:1], 0, groups, 8)
+    out = T.drop_column_selection(rows, names, spec, LEVELS, 0, groups, 8)
     return out.select("level", "feature", (F.col("drop") == (F.col("log_loss") < F.col("baseline"))).alias("marked"))
 
 
-@query("hyperparam_search", "SELECT 1 AS level, 2 AS n_trials, 1 AS n_best, true AS first_maximum")
+@query("hyperparam_search", "SELECT CAST(level AS INT) AS level, CAST(rung AS INT) AS rung, CAST(CASE rung WHEN 0 THEN 3 ELSE 1 END AS INT) AS n_trials,"
+       " CAST(rung AS INT) AS n_best, true AS survivors FROM (SELECT unnest(range(1, 19)) AS level), (SELECT unnest(range(2)) AS rung)")
 def hyperparam_search(spark, sf):
-    """Two trials for a question, as searches go question by question; the best is the first with the largest mean AUC."""
+    """Three trials for every question, of which the best goes on to its whole budget: it had the largest AUC of its rung."""
     rows, _ = training_rows(spark, sf)
     space = {"stepSize": ("log", 0.02, 0.1), "maxIter": ("int", 1, 2), "maxDepth": ("int", 1, 2),
              "subsamplingRate": ("uniform", 0.4, 0.8), "featureSubset": ("uniform", 0.2, 0.6)}
-    trials = T.hyperparam_search(rows, LEVELS[0], 2, space, N_FOLDS, parallelism=8)
-    best = F.max(F.when(F.col("best"), F.col("auc")))
-    return trials.groupBy("level").agg(
+    trials = T.hyperparam_search(rows, LEVELS, 3, space, N_FOLDS, parallelism=8, budgets=(0.5, 1.0))
+    on = trials.where("rung = 1").select("level", "trial", F.lit(True).alias("_on"))
+    rungs = trials.join(on, ["level", "trial"], "left").groupBy("level", "rung").agg(
         F.count(F.lit(1)).cast("int").alias("n_trials"), F.count_if("best").cast("int").alias("n_best"),
-        (best == F.max("auc")).alias("first_maximum"))
+        (F.max(F.when(F.col("_on"), F.col("auc"))) == F.max("auc")).alias("survivors"))
+    return rungs
 
 
 # Stacking.
@@ -382,24 +404,22 @@ _RUN_SPECS = [
     T.ModelSpec("ridge_low", "logistic", {"maxIter": 2, "regParam": 0.1}, balanced=True),
     T.ModelSpec("ridge_high", "logistic", {"maxIter": 2, "regParam": 1.0}),
 ]
-#: A question of each phase and two folds: a run over all 1,100 columns a phase takes minutes for each question more.
-_RUN_LEVELS, _RUN_FOLDS = [2, 8, 15], 2
 _RUNS: dict[tuple, Layout] = {}
 
 
 def stored_run(spark, sf):
     """The batch run, once per session and input."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _RUNS:
         log, hot = event_log(spark, sf)
         out = Layout(scratch(spark, "run"))
-        train(log, question_labels(spark, sf), _RUN_SPECS, out, _RUN_LEVELS, _RUN_FOLDS, parallelism=8, hot=hot)
+        train(log, question_labels(spark, sf), _RUN_SPECS, out, LEVELS, N_FOLDS, parallelism=8, hot=hot)
         _RUNS[key] = out
     return _RUNS[key]
 
 
 @query("train_all", "SELECT scope, CAST(level AS INT) AS level, true AS in_range FROM (SELECT unnest(['ridge_low', 'ridge_high', 'stack']) AS scope)"
-       " CROSS JOIN (SELECT unnest([2, 8, 15]) AS level UNION ALL SELECT NULL)")
+       " CROSS JOIN (SELECT unnest(range(1, 19)) AS level UNION ALL SELECT NULL)")
 def train_all(spark, sf):
     """The scores of a run: each model and the stack, each question and over all."""
     scores_table = S.read_table(spark, stored_run(spark, sf).scores)
@@ -409,13 +429,13 @@ def train_all(spark, sf):
 
 #: Every question of the run, of every session whose phase has events.
 _SCORED = "WITH " + LABELS + GLOG.replace("WITH e AS", ", e AS", 1) + (
-    "SELECT session, level, true AS {fact} FROM lab WHERE level IN (2, 8, 15) AND (session, level_group) IN (SELECT session_id, level_group FROM glog)")
+    "SELECT session, level, true AS {fact} FROM lab WHERE (session, level_group) IN (SELECT session_id, level_group FROM glog)")
 
 
 @query("score_run", _SCORED.format(fact="decided"))
 def score_run(spark, sf):
     """Predictions of the stored run: vocabulary, catalogue, models, stackers and threshold are read back."""
-    run = StoredRun(spark, stored_run(spark, sf), [s.name for s in _RUN_SPECS], _RUN_FOLDS)
+    run = StoredRun(spark, stored_run(spark, sf), [s.name for s in _RUN_SPECS], N_FOLDS)
     log, hot = event_log(spark, sf)
     out = score(run, log, hot)
     return out.select("session", "level", (F.col("correct") == (F.col("p") >= run.threshold).cast("int")).alias("decided"))
@@ -509,7 +529,7 @@ def stateful_carry_forward(spark, sf):
 @query("stream_score", _SCORED.format(fact="as_in_batch"))
 def stream_score(spark, sf):
     """The stored run on the stream gives what it gives in batch."""
-    run = StoredRun(spark, stored_run(spark, sf), [s.name for s in _RUN_SPECS], _RUN_FOLDS)
+    run = StoredRun(spark, stored_run(spark, sf), [s.name for s in _RUN_SPECS], N_FOLDS)
     log, hot = event_log(spark, sf)
     out, _ = run_stream(spark, sf, lambda own, log: (lambda events, phase: run.features(events, phase, None)), predict=run.predict, files=1000)
     batch = score(run, log, hot).select("session", "level", F.col("p").alias("_p"), F.col("correct").alias("_correct"))

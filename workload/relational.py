@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from playtrace.operators import labels as L
 from playtrace.operators import metrics as M
 from playtrace.operators import profile as P
 from playtrace.operators import sessions as W
+from playtrace.operators import sketches as K
+from playtrace.operators import sparse as B
 from playtrace.operators import stats as A
-from playtrace.operators.features import as_arrays, carry_forward, feature_columns, features_long, prune_features, session_features
+from playtrace.operators.features import (
+    as_arrays, carry_forward, feature_columns, features_long, session_features, stat_names, wide_values,
+)
 from playtrace.operators.modelsel import mean_importance, top_half
 from playtrace.operators.vocab import build_vocab, encode_columns
+from playtrace.plans.skew import bounded_broadcast
 from playtrace.schema import EVENT_SCHEMA, KEYS, LANDMARKS, PHASE, PHASES, SESSION, word_key
 from playtrace.sources import tables as S
 from workload.inputs import event_log, parsed_labels, question_labels, scores, scores_long, table
 from workload.registry import (
-    DIFFS, GLOG, GRID, LABELS, MACRO_F1, QLABELS, SCORES, SCORES_LONG, TALL, VOCAB, VOCAB_COLUMNS, category_sql, cells,
+    DIFFS, GLOG, GRID, LABELS, MACRO_F1, QLABELS, SCORES, SQL, SCORES_LONG, TALL, VOCAB, VOCAB_COLUMNS, category_sql, cells,
     glog, melt_sql, query, r, rounded, sweep_sql,
 )
 from workload.scalar import NUMERIC, NUMERIC_LONG, scratch
@@ -224,6 +231,26 @@ def span_sql(m: str, c: str) -> str:
     return f"coalesce(CAST(max({col}) FILTER {_MARK_SQL[m].join(['(', ')'])} - min({col}) FILTER {_MARK_SQL[m].join(['(', ')'])} AS DOUBLE), 0.0e0)"
 
 
+@query("agg_sketches", GLOG + DIFFS + " SELECT session_id, level_group, true AS quantiles, true AS distinct_counts FROM d GROUP BY session_id, level_group")
+def agg_sketches(spark, sf):
+    """Quantiles and distinct counts of each session and phase from sketches stored by a third key and merged, against the exact ones."""
+    d, hot = diffed(spark, sf)
+    parts = K.sketches(d.withColumn("_part", F.pmod(F.col("event_id"), F.lit(4))), keys=[*KEYS, "_part"])
+    path = scratch(spark, "sketches")
+    S.write_table(parts, path)
+    near = K.approximate(K.merged(S.read_table(spark, path)))
+    ranks = d.join(near.select(*KEYS, "elapsed_time_diff_qtile_0_5"), KEYS).groupBy(*KEYS).agg(
+        (F.count_if(F.col("elapsed_time_diff") <= F.col("elapsed_time_diff_qtile_0_5")) / F.count("elapsed_time_diff")).alias("upto"),
+        (F.count_if(F.col("elapsed_time_diff") < F.col("elapsed_time_diff_qtile_0_5")) / F.count("elapsed_time_diff")).alias("below"))
+    exact = A.nunique(d).withColumnsRenamed({f"{c}_nunique": f"_{c}" for c in ("event_name", "fqid", "room_fqid", "text")})
+    close = F.lit(True)
+    for c in ("event_name", "fqid", "room_fqid", "text"):
+        close = close & (F.abs(F.col(f"{c}_nunique") / F.col(f"_{c}") - 1) < 0.1)
+    out = near.join(ranks, KEYS).join(exact, KEYS)
+    middle = F.coalesce((F.col("upto") > 0.45) & (F.col("below") < 0.55), F.col("elapsed_time_diff_qtile_0_5").isNull())
+    return out.select(*KEYS, middle.alias("quantiles"), close.alias("distinct_counts"))
+
+
 @query("agg_landmark_span", GLOG + f"SELECT {SG}, " + ", ".join(
     f"{span_sql(m, c)} AS {m}_span_{c}" for m in _MARK_SQL for c in ("elapsed_time", "index")) + f" FROM glog GROUP BY {SG}")
 def agg_landmark_span(spark, sf):
@@ -647,14 +674,26 @@ def build_session_features(spark, sf):
 
 @query("build_session_features_wide", GLOG + FEATURES_LONG + f"SELECT {SG}, CAST(count(value) AS INT) AS n_values,"
        " CAST(sum(CAST(CAST(round(value, 3) AS DECIMAL(20, 3))*1000 AS BIGINT)) AS BIGINT) AS thousandths"
-       f" FROM feats WHERE level_group = '13-22' GROUP BY {SG}")
+       f" FROM feats GROUP BY {SG}")
 def build_session_features_wide(spark, sf):
-    """Every column of the wide row: how many have a value, and the exact sum of the rounded values."""
-    wide = flagship(spark, sf)
-    values, _ = as_arrays(feature_columns(wide))
-    rows = wide.select(*KEYS, F.filter(values, lambda v: v.isNotNull()).alias("v"))
+    """Every column of the wide rows of all phases: how many have a value, and the exact sum of the rounded values."""
     exact = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, v: s + (F.round(v, 3).cast("decimal(20,3)") * 1000).cast("bigint"))
-    return rows.select(*KEYS, F.size("v").alias("n_values"), exact.alias("thousandths"))
+    parts = []
+    for wide in all_features(spark, sf).values():
+        values, _ = as_arrays(feature_columns(wide))
+        rows = wide.select(*KEYS, F.filter(values, lambda v: v.isNotNull()).alias("v"))
+        parts.append(rows.select(*KEYS, F.size("v").alias("n_values"), exact.alias("thousandths")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def named_profile(log, vocab, phase, hot, folds=None):
+    """The profile of a phase's block, under the names of its wide columns; without rows for values that nothing has."""
+    values = wide_values(vocab, phase)
+    names = [(v.column, v.value, i, n) for v in values for i, n in enumerate(stat_names(v))]
+    names += [(B.FLAT, "", i, n) for i, n in enumerate(B.flat_names(log, phase))]
+    named = log.sparkSession.createDataFrame(names, "column string, value string, stat int, feature string")
+    profiled = B.pruned(B.profile(B.block(log, phase, hot), folds))
+    return profiled.join(bounded_broadcast(named), ["column", "value", "stat"], "right").withColumn(PHASE, F.lit(phase))
 
 
 @query("prune_features", GLOG + FEATURES_LONG + ", catalog AS (SELECT level_group, feature, CASE"
@@ -665,20 +704,57 @@ def build_session_features_wide(spark, sf):
        + ") GROUP BY level_group, feature)"
        " SELECT level_group, feature, reason IS NULL AS kept, reason FROM catalog")
 def prune_features_query(spark, sf):
-    parts = [prune_features(f, p) for p, f in all_features(spark, sf).items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("original")
+    """Profiled tall, before anything is wide. A null token that no row needs is a column of nothing, and constant."""
+    log, hot = event_log(spark, sf)
+    vocab = stored_vocab(spark, log)
+    parts = [named_profile(log, vocab, p, hot) for p in PHASES]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    reason = F.when(F.col("n").isNull(), "constant").otherwise(F.col("reason"))
+    return out.select(PHASE, "feature", reason.isNull().alias("kept"), reason.alias("reason"))
 
 
-@query("concat_features", GLOG + NUMERIC_LONG + ", g AS (SELECT session_id, level_group, count(*) FILTER (value IS NOT NULL) AS n, "
-       "round(sum(value), 2) + 0.0 AS total FROM nl WHERE feature LIKE '%coor%' GROUP BY session_id, level_group)"
-       " SELECT session_id, CAST(sum(n) AS BIGINT) AS n_values, " + r("sum(total)", "total", 2) + " FROM g GROUP BY session_id")
+@query("prune_by_fold", GLOG + FEATURES_LONG + ", f AS (SELECT level_group, session_id % 5 AS fold, feature, count(*) AS n, count(value) AS present,"
+       " min(value) AS low, max(value) AS high FROM feats WHERE feature NOT LIKE '%\\_span\\_%' ESCAPE '\\'"
+       " OR (level_group, feature) IN ("
+       + ", ".join(f"('{_MARK_PHASE[m]}', '{m}_span_{c}')" for m in _MARK_SQL for c in ("elapsed_time", "index"))
+       + ") GROUP BY level_group, session_id % 5, feature)"
+       ", o AS (SELECT f.level_group, k.fold, f.feature, sum(n) AS n, sum(present) AS present, min(low) AS low, max(high) AS high"
+       " FROM f JOIN (SELECT unnest(range(5)) AS fold) k ON f.fold <> k.fold GROUP BY f.level_group, k.fold, f.feature)"
+       " SELECT level_group, CAST(fold AS INT) AS fold, feature, NOT (present = 0 OR (present = n AND low = high) OR 1.0e0 - present*1.0e0/n > 0.9)"
+       " AS kept FROM o")
+def prune_by_fold(spark, sf):
+    """What each fold's training sessions would keep, for all folds from one pass over the tall statistics."""
+    log, hot = event_log(spark, sf)
+    vocab = stored_vocab(spark, log)
+    folds = log.select(SESSION).distinct().withColumn("fold", (F.col(SESSION) % 5).cast("int"))
+    each = F.explode(F.sequence(F.lit(0), F.lit(4)))
+    parts = []
+    for p in PHASES:
+        named = named_profile(log, vocab, p, hot, folds)
+        bare = named.where("fold IS NULL").withColumn("fold", each)  # columns of nothing, in no fold's profile
+        parts.append(named.where("fold IS NOT NULL").unionByName(bare).select(PHASE, "fold", "feature", F.coalesce("kept", F.lit(False)).alias("kept")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("concat_features", GLOG + NUMERIC_LONG + "SELECT session_id, concat('g', CASE level_group WHEN '0-4' THEN 0 WHEN '5-12' THEN 1 ELSE 2 END,"
+       " '_', feature) AS feature, " + r("value", "value", 3) + " FROM nl WHERE feature NOT IN ('zero', 'empty') AND value IS NOT NULL"
+       " AND session_id IN (SELECT session_id FROM nl WHERE level_group = '13-22')")
 def concat_features(spark, sf):
+    """All numeric columns of the phases side by side, as one narrow table."""
     d, _ = diffed(spark, sf)
-    columns = [c for c in NUMERIC if "coor" in c]
-    by_phase = {p: d.where(F.col(PHASE) == p).groupBy(*KEYS).agg(*A.numeric_exprs(columns)) for p in PHASES}
+    by_phase = {p: d.where(F.col(PHASE) == p).groupBy(*KEYS).agg(*A.numeric_exprs()) for p in PHASES}
     wide = carry_forward(by_phase)["13-22"]
-    blocks = [F.array(*[c for c in wide.columns if c.startswith(f"g{g}_")]) for g in range(3)]
-    present = [F.filter(b, lambda x: x.isNotNull()) for b in blocks]
-    total = sum((F.round(F.aggregate(b, F.lit(0.0), lambda s, x: s + x), 2) for b in present), F.lit(0.0))
-    n = F.size(F.concat(*present)).cast("long")
-    return rounded(wide.select(SESSION, n.alias("n_values"), total.alias("total")), 2)
+    values, names = as_arrays([c for c in wide.columns if c != SESSION])
+    tall = wide.select(SESSION, F.posexplode(values).alias("_i", "value")).where(F.col("value").isNotNull())
+    return rounded(tall.select(SESSION, F.get(names, F.col("_i")).alias("feature"), "value"), 3)
+
+
+@query("bucketed_carry_forward", SQL["carry_forward"])
+def bucketed_carry_forward(spark, sf):
+    """Phases stored by buckets of their sessions, carried forward without dealing any of them again."""
+    log, _ = event_log(spark, sf, "missing_phase")
+    stored = {}
+    for i, p in enumerate(PHASES):
+        name = f"phase_{i}_{uuid.uuid4().hex}"
+        stored[p] = S.write_bucketed(A.elapsed_basic(log.where(F.col(PHASE) == p)), name, scratch(spark, name))
+    return rounded(carry_forward(stored)["13-22"])

@@ -56,9 +56,10 @@ def sink_parquet(spark, sf):
     return S.read_table(spark, path)
 
 
-@query("scan_parquet", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query("scan_parquet", "SELECT event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props FROM events")
 def scan_parquet(spark, sf):
-    return S.read_table(spark, f"{sf}/events.parquet").select("event_id", "user_id", "event_type", "value", "props")
+    log = S.read_table(spark, f"{sf}/events.parquet")
+    return log.select("event_id", F.expr("unix_micros(CAST(ts AS TIMESTAMP))").alias("ts_us"), "user_id", "event_type", "value", "props")
 
 
 @query("sink_labels_by_group", "WITH " + LABELS + "SELECT * FROM lab WHERE level_group = '5-12'")
@@ -287,11 +288,12 @@ def encode_category(spark, sf):
     return encode_columns(log, vocab, {c: f"{c}_id" for c in _ENCODED}).select("event_id", *[f"{c}_id" for c in _ENCODED])
 
 
-@query("cast_float32", GLOG + "SELECT session_id, level_group, CAST(sum(elapsed_time) AS FLOAT) AS elapsed_sum,"
-       " CAST(avg(elapsed_time) AS FLOAT) AS elapsed_mean, CAST(max(elapsed_time) AS FLOAT) AS elapsed_max,"
-       " CAST(min(elapsed_time) AS FLOAT) AS elapsed_min FROM glog GROUP BY session_id, level_group")
+@query("cast_float32", GLOG + NUMERIC_LONG + "SELECT session_id, level_group, feature, " + r("CAST(CAST(value AS FLOAT) AS DOUBLE)", "value", 3)
+       + " FROM nl WHERE value IS NOT NULL")
 def cast_float32(spark, sf):
-    return to_float32(elapsed_basic(event_log(spark, sf)[0]))
+    """The numeric feature matrix in single precision."""
+    parts = [features_long(to_float32(numeric_features(spark, sf, p))) for p in PHASES]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), 3)
 
 
 @query("nan_fill", GLOG + "SELECT event_id, CASE WHEN k % 9 = 0 THEN -1.0e0 ELSE page END AS page FROM glog")
