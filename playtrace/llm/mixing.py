@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playtrace.llm.common import n_words, stored
@@ -53,29 +53,60 @@ def source_rates(
         F.when(F.col("source_size") > 0, target / F.col("source_size")).otherwise(0.0).alias("rate"))
 
 
-def draw(*keys: Column) -> Column:
-    """A number in [0, 1) from the MD5 of the keys: the same for the same row, whatever the plan."""
-    return F.conv(F.substring(F.md5(F.concat_ws(":", *keys)), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+def _digest(doc_id: Column, source: Column, text: Column) -> Column:
+    """MD5 of id, source and text as hexadecimal digits; a null id or text counts as the empty text."""
+    return F.md5(F.concat(
+        F.coalesce(doc_id.cast("string"), F.lit("")), F.coalesce(F.concat(F.lit("="), source), F.lit("")), F.lit(":"),
+        F.coalesce(text, F.lit(""))))
+
+
+def draw(digest: Column, nth: Column, share: Column) -> Column:
+    """Whether the ``nth`` (from 0) of equal rows is drawn, at ``share``: a number in [0, 1) from the digest, moved back by the share for
+    each row before it, round the unit. Of m equal rows m times the share are drawn, up to one."""
+    u = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52)) - nth * share
+    return u - F.floor(u) < share
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (``row, _digest``) with ``_nth``, the number from 0 of each among those of one digest.
+
+    Digests that occur once, nearly all, need no more than a count. The others' rows are stored, and numbered in chunks of what a task
+    wrote, with one sum per chunk for what stands in earlier ones: no task takes all copies of a row.
+    """
+    repeated = stored(rows.groupBy("_digest").count().where("count > 1").select("_digest"), "mix-repeated")
+    n = repeated.count()
+    if not n:
+        return rows.withColumn("_nth", F.lit(0).cast("long"))
+    side = F.broadcast(repeated) if n * 60 <= BROADCAST_BYTES else repeated
+    once = rows.join(side, "_digest", "left_anti").withColumn("_nth", F.lit(0).cast("long"))
+    more = stored(rows.join(side, "_digest", "left_semi").withColumn("_at", F.monotonically_increasing_id()), "mix-copies")
+    more = more.withColumn("_chunk", F.shiftright("_at", 12))
+    before = Window.partitionBy("_digest").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = more.groupBy("_digest", "_chunk").count().select(
+        "_digest", "_chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_earlier"))
+    own = F.row_number().over(Window.partitionBy("_digest", "_chunk").orderBy("_at")) - 1
+    more = more.withColumn("_own", own).join(earlier, ["_digest", "_chunk"])
+    return once.unionByName(more.select("row", "_digest", (F.col("_earlier") + F.col("_own")).alias("_nth")))
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **targets) -> DataFrame:
     """All rows of ``docs`` as a struct ``row``, with ``size, source_size, target, copies``.
 
-    A row is taken floor(rate) times, and once more if its number from MD5 of id and text lies below the rest of the rate,
-    so reruns agree and no row is taken more than twice. Rows that repeat id and text get the same number of copies; a
-    null text has size 0, a null source is a source of its own. Other columns ride along untouched, whatever their names.
+    A row is taken floor(rate) times, and once more if its number from MD5 of id, source and text lies below the rest of the rate, so
+    no row is taken more than twice. Rows that repeat all three are drawn one after another, so that together they come as near to the rate as
+    they can; reruns agree but for which of them is drawn. A null text has size 0, a null source is a source of its own. Other
+    columns ride along untouched, whatever their names.
     """
     rates = source_rates(docs, text, source, **targets)
     size = rates.agg(F.sum(F.octet_length(F.coalesce("source", F.lit(""))) + F.lit(40))).first()[0] or 0
     rates = rates.withColumnRenamed("source", "_source")
     rates = F.broadcast(rates) if size <= BROADCAST_BYTES else rates
-    rows = docs.select(F.struct("*").alias("row"))
-    joined = rows.join(rates, F.col(f"row.{source}").eqNullSafe(F.col("_source")))
+    rows = docs.select(F.struct("*").alias("row"), _digest(F.col(doc_id), F.col(source), F.col(text)).alias("_digest"))
+    joined = _numbered(rows).join(rates, F.col(f"row.{source}").eqNullSafe(F.col("_source")))
     whole = F.floor("rate")
-    u = draw(F.col(f"row.{doc_id}").cast("string"), F.col(f"row.{text}"))
     return joined.select(
         "row", n_words(F.col(f"row.{text}")).alias("size"), "source_size", "target",
-        (whole + (u < F.col("rate") - whole).cast("long")).alias("copies"))
+        (whole + draw(F.col("_digest"), F.col("_nth"), F.col("rate") - whole).cast("long")).alias("copies"))
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:

@@ -86,10 +86,11 @@ RATES = r"""sized AS (SELECT *, CAST(len(regexp_extract_all(coalesce(text, ''),
 , levels AS (SELECT coalesce(arg_min((total - coalesce(gone, 0)) / rest, n) FILTER (w * ((total - coalesce(gone, 0)) / rest) <= most), 0.0e0) AS level FROM filled)
 , rates AS (SELECT source, source_size, least(w * level, most) AS target,
     CASE WHEN source_size > 0 THEN least(w * level, most) / source_size ELSE 0 END AS rate FROM ranked, levels)
-, mixed AS (SELECT s.*, r.source_size, r.target, CAST(floor(rate) AS BIGINT) + CASE WHEN
-    CAST(concat('0x', substr(md5(concat_ws(':', CAST(s.doc_id AS VARCHAR), s.text)), 1, 13)) AS BIGINT) / 4503599627370496.0e0
-      < rate - floor(rate) THEN 1 ELSE 0 END AS copies
+, drawn AS (SELECT s.*, md5(concat(coalesce(CAST(s.doc_id AS VARCHAR), ''), coalesce('=' || s.source, ''), ':', coalesce(s.text, ''))) AS digest, r.source_size, r.target, r.rate
     FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source)
+, numbered AS (SELECT *, CAST(concat('0x', substr(digest, 1, 13)) AS BIGINT) / 4503599627370496.0e0
+    - (row_number() OVER (PARTITION BY digest) - 1) * (rate - floor(rate)) AS u FROM drawn)
+, mixed AS (SELECT *, CAST(floor(rate) AS BIGINT) + CASE WHEN u - floor(u) < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM numbered)
 """
 
 

@@ -14,6 +14,7 @@ import numpy as np
 import pytest
 from playtrace.llm import chat, license_scan, mixing, packing, quality, queries, secret_scan, token_counts
 from playtrace.llm.tokens import encoder
+from pyspark.sql import functions as F
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -395,3 +396,15 @@ def test_licences_in_very_long_texts_take_linear_time(spark):
     row = license_scan.scan(docs).first()
     assert (row["n_words"], row["n_base"], row["first_word"], row["last_word"]) == (200_000, 50_000, 0, 199_996)
     assert time.time() - began < 60
+
+
+def test_equal_rows_come_near_their_target(spark, monkeypatch):
+    """A source of 400 equal rows and 10 others: the equal ones are not drawn all or none; whatever tasks they stand in."""
+    words = "a b c d e f g h i j k l m n o p q r s t"
+    given = [(0, words, "en", "a", 1)] * 400 + [(i, words + f" {i}", "en", "a", 1) for i in range(1, 11)]
+    given += [(100 + i, words, "en", "b", 1) for i in range(300)]
+    mixed = mixing.mix(fx.documents(spark, given))
+    for r in mixed.groupBy("row.source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target")).collect():
+        assert abs(r["taken"] / r["target"] - 1) < (0.05 if r["source"] == "a" else 0.2)
+    copies = [sorted(r["copies"] for r in mixing.mix(fx.documents(spark, given).repartition(n)).where("row.doc_id = 0").collect()) for n in (1, 7)]
+    assert copies[0] == copies[1] and len(set(copies[0])) == 2
