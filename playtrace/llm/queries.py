@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op1_secret_scan")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.scan(table(spark, sf_dir, "documents"))
+    return secret_scan.scan(table(spark, sf_dir, "documents"), vocabulary=vocabulary())
 
 
 #: Tokens of a text, as ``words``, the phrase labels in them and the weights of licence words.

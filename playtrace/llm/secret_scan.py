@@ -2,12 +2,14 @@
 
 The cost of a value is the least, over all ways to cut it into words, dates, repeats, keyboard walks and brute-force
 spans, of the decades (powers of ten) of guesses those pieces take, found by dynamic programming over its positions. Its words
-are a short list that guessing starts with and then the ``LISTED`` most frequent words of the documents themselves.
+are a short list that guessing starts with, the words of a tokenizer's vocabulary where one is given, so that ordinary words are known
+whatever the table, and then the ``LISTED`` most frequent words of the documents themselves.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
 from collections import Counter
@@ -60,6 +62,8 @@ _RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
 LISTED = 1 << 16
 LEAST_DOCS = 3
 LONGEST = 24
+#: Letters of the shortest words that are taken from a vocabulary; shorter entries are mostly parts of words.
+LEAST_VOCABULARY = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LEET = str.maketrans("@4831!05$7", "aabeiiosst")
 # The rows of a keyboard, and the alphabet as one more row.
@@ -94,8 +98,18 @@ def _brute(c: str) -> float:
     return 1.0 if c.isdigit() else math.log10(26) if c.isalpha() and c.isascii() else math.log10(33) if c.isascii() else 2.0
 
 
-def word_ranks(docs: DataFrame, text: str = "text", most: int = LISTED) -> dict[str, int]:
-    """Rank of each word that guessing tries: ``WORDS``, then the words of ``docs`` by the number of documents they stand in.
+def vocabulary_words(path: str) -> list[str]:
+    """The words of a byte-level vocabulary file in its order, which is about that of their frequency: its entries that begin with a
+    space and are letters a-z, ``LEAST_VOCABULARY`` or more, in small letters."""
+    with open(path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    words = (t[1:].lower() for t in sorted(vocab, key=vocab.get) if t[0] == "\u0120")
+    return list(dict.fromkeys(w for w in words if len(w) >= LEAST_VOCABULARY and w.isascii() and w.isalpha()))
+
+
+def word_ranks(docs: DataFrame, text: str = "text", most: int = LISTED, vocabulary: str | None = None) -> dict[str, int]:
+    """Rank of each word that guessing tries: ``WORDS``, those of a ``vocabulary`` file, then the words of ``docs`` by the number of
+    documents they stand in.
 
     Values in credential contexts are not counted, so that a secret is no word because copies repeat it. The list is cut where the
     counts fall below a step of a logarithmic scale, so that it has at most ``most`` corpus words.
@@ -124,6 +138,8 @@ def word_ranks(docs: DataFrame, text: str = "text", most: int = LISTED) -> dict[
         least, listed = row["s"], listed + row["v"]
     top = counts.where(step >= F.lit(float(least))).collect()  # at most ``most`` rows
     ranks = dict(_RANK)
+    for word in vocabulary_words(vocabulary) if vocabulary else ():
+        ranks.setdefault(word, len(ranks) + 1)
     for row in sorted(top, key=lambda r: (-r["n"], r["word"])):
         ranks.setdefault(row["word"], len(ranks) + 1)
     return ranks
@@ -154,8 +170,9 @@ def _named(text: str) -> bool:
 def guess_cost(value: str, ranks: Mapping[str, int] = _RANK) -> float:
     """Decades of guesses for the cheapest segmentation of ``value``, at most ``CEILING``. The empty value costs 0.
 
-    A repeat is a block of up to ``PERIODS`` characters followed by as many copies of itself as there are. The states are
-    positions, so the work grows with the length of the value, not its square.
+    A repeat is a block of up to ``PERIODS`` characters, priced by its own cheapest segmentation, followed by as many copies of itself
+    as there are; longer blocks are priced piece by piece each time. Words have at most ``LONGEST`` letters, longer ones are made of
+    shorter ones. The states are positions, so the work grows with the length of the value, not its square.
     """
     n, low = len(value), value.lower()
     if len(low) != n:
@@ -166,14 +183,13 @@ def guess_cost(value: str, ranks: Mapping[str, int] = _RANK) -> float:
     best[0] = 0.0
     last = 0  # the furthest position that costs less than the ceiling
     same = [0] * (PERIODS + 1)  # by period: up to where each character equals the one a period later
-    blocks: dict[tuple[int, int], float] = {}
+    blocks: dict[str, float] = {}
 
     def block(i: int, p: int) -> float:
-        if (i, p) not in blocks:
-            own = low[i:i + p]
-            rank = ranks.get(own)
-            blocks[i, p] = math.log10(rank + 1) if rank else sum(_brute(c) for c in own)
-        return blocks[i, p]
+        own = value[i:i + p]
+        if own not in blocks:
+            blocks[own] = guess_cost(own, ranks)  # at most ``PERIODS`` characters, repeats in it at most half as many
+        return blocks[own]
 
     def lower(at: int, cost: float) -> None:
         nonlocal last
@@ -245,13 +261,13 @@ def _joined(found: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in found)
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """One row per row of ``docs``: id, counts per kind, digest of the base spans, and all spans (code points).
 
     A null text is empty and has no spans; the digest of no spans is that of the empty string.
     """
     bounded_batches(docs.sparkSession)
-    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text))
+    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text, vocabulary=vocabulary))
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = T.StructType([
         own.schema["doc_id"], *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS[:3]],
@@ -294,13 +310,14 @@ def mask(text: str, ranks: Mapping[str, int] = _RANK) -> str:
     return "".join([*out, text[at:]])
 
 
-def mask_secrets(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by ``[secret]``; all rows and columns stay.
+def mask_secrets(docs: DataFrame, text: str = "text", length: str | None = "n_chars", vocabulary: str | None = None) -> DataFrame:
+    """``docs`` with every secret in ``text`` replaced by ``[secret]``; all rows and columns stay, repeated ones too, and null and empty
+    texts stay as they are.
 
     ``length``, where the table has such a column, holds the new number of code points of each changed text.
     """
     bounded_batches(docs.sparkSession)
-    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text))
+    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs, text, vocabulary=vocabulary))
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -90,8 +90,7 @@ def brute_cost(value):
             while value[i + times * p:i + (times + 1) * p] == value[i:i + p]:
                 times += 1
             if times > 1 and p * times == j - i:
-                block = s._RANK.get(low[i:i + p])
-                prices.append((math.log10(block + 1) if block else sum(map(s._brute, low[i:i + p]))) + math.log10(times))
+                prices.append(brute_cost(value[i:i + p]) + math.log10(times))
         steps = [s._STEP.get(ab) for ab in zip(own, own[1:])]
         if steps and None not in steps:
             walk, last = s._WALK_START, -1
@@ -108,11 +107,28 @@ def brute_cost(value):
     return min(best, s.CEILING)
 
 
-@pytest.mark.parametrize("value", ["aB1", "p@ss1", "qwe123", "abab", "aaaa1", "20240131", "zaq12wsx", "Love99!", "1999ab", "xyzzy", "lovelove"])
+@pytest.mark.parametrize("value", ["aB1", "p@ss1", "qwe123", "abab", "aaaa1", "20240131", "zaq12wsx", "Love99!", "1999ab", "xyzzy", "lovelove", "catdogcatdog", "ab1ab1ab1"])
 def test_guess_cost_is_the_cheapest_segmentation(value):
     assert secret_scan.guess_cost(value) == pytest.approx(brute_cost(value))
 
 
+def test_a_repeated_block_costs_its_cheapest_segmentation():
+    once = secret_scan.guess_cost("correcthorse")
+    assert secret_scan.guess_cost("correcthorse" * 3) == pytest.approx(once + math.log10(3))
+    assert secret_scan.guess_cost("tigerlion" * 4) == pytest.approx(secret_scan.guess_cost("tigerlion") + math.log10(4))
+    assert secret_scan.guess_cost("correcthorse" * 3) < secret_scan.DECADES
+
+
+def test_ordinary_words_are_known_whatever_the_table(spark):
+    texts = ["the token is generated automatically", "password is required here", "the secret is persistence", "auth is unnecessary here",
+             "pwd: kT9#vL2$xQ7!"]
+    docs = fx.documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])
+    found = {r["doc_id"]: r["n_guess"] for r in secret_scan.scan(docs, vocabulary=queries.vocabulary()).collect()}
+    assert found == {0: 0, 1: 0, 2: 0, 3: 0, 4: 1}
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.mask_secrets(docs, vocabulary=queries.vocabulary()).collect()}
+    assert masked == {i: t if i < 4 else "pwd: [secret]" for i, t in enumerate(texts)}
+
+
 def test_guess_cost_of_long_values():
     assert secret_scan.guess_cost("") == 0
     assert secret_scan.guess_cost("a" * 200_000) < 10
