@@ -14,27 +14,30 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that some rule rejects go."""
+    """Documents that some rule rejects go. Null and empty texts have no words and are rejected; repeated rows share a verdict."""
     return quality.filter_quality(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies stays."""
+    """One document of each class of near copies stays. Of repeated rows one stays; each distinct text without words is a class of its own,
+    null as the empty text."""
     return near_dup.drop_near_duplicates(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked; all documents stay."""
-    return secret_scan.mask_secrets(docs)
+    """Secrets are masked; all documents stay, null and empty texts as they are, repeated rows each with the same text."""
+    return secret_scan.mask_secrets(docs, vocabulary=vocabulary())
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document stands as often as the mix takes it."""
+    """Each document stands as often as the mix takes it. Null and empty texts have no size and follow their source's rate; rows that
+    repeat id, source and text are drawn one after another; a null source is a source."""
     return mixing.mixture(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document, with its sequence and place."""
+    """One row per piece of a document, with its sequence and place. A null or empty text is its end token; repeated rows are packed
+    each; without documents there is no row."""
     return packing.pack(docs, vocabulary())
 
 
