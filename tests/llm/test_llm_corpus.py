@@ -362,3 +362,37 @@ def test_buckets_of_a_leader_are_one_group_where_they_overlap(spark):
     for r in got:
         groups.setdefault(r["key"], set()).add(r["item"])
     assert sorted(map(sorted, groups.values())) == [list(range(22)), [1, 2], [3, 4]] and len(got) == 26
+
+
+@pytest.mark.parametrize("points", [32, 256, 1024])
+def test_pairs_at_the_threshold_share_reference_points(points):
+    """Recall at cosine 0.90 does not fall with the number of reference points."""
+    rng = np.random.default_rng(points)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    p, x = unit(rng.normal(size=(points, 64))), unit(rng.normal(size=(3000, 64)))
+    z = rng.normal(size=x.shape)
+    z = unit(z - (z * x).sum(axis=1, keepdims=True) * x)
+    y = 0.9 * x + np.sqrt(1 - 0.81) * z
+    k = vector_dup.prefix(points)
+    near = [np.argsort(-(v @ p.T), axis=1)[:, :k] for v in (x, y)]
+    shared = (near[0][:, :, None] == near[1][:, None, :]).any(axis=2).sum(axis=1)
+    assert (shared >= vector_dup.SHARED).mean() > 0.975
+
+
+def test_vectors_by_many_reference_points(spark, monkeypatch):
+    """The whole operator with 1,024 reference points: at least 0.97 of the links found, none that is not one."""
+    monkeypatch.setattr(vector_dup, "LEAST_PIVOTS", 1024)
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(5000, 32))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    z = rng.normal(size=(600, 32))
+    z -= (z * base[:600]).sum(axis=1, keepdims=True) * base[:600]
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9005, 0.95, size=(600, 1))
+    x = np.concatenate((base, cosine * base[:600] + np.sqrt(1 - cosine ** 2) * z))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in vector_dup.near_vectors(df).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.9).sum(axis=1) - 1
+    found = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert (found <= want).all() and found.sum() >= 0.97 * want.sum() and want.sum() >= 1200
