@@ -215,7 +215,7 @@ def many_values(spark, log, n):
 @pytest.fixture(scope="module")
 def wide_vocabulary(spark):
     log = event_log(spark, "/root/testdata/sf0.01")[0]
-    copies = log.withColumn("event_id", F.explode(F.array(*[F.col("event_id") + 1_000_000 * k for k in range(12)])))
+    copies = log.withColumn("event_id", F.explode(F.array(*[F.col("event_id") + 1_000_000 * k for k in range(3)])))
     return many_values(spark, copies, 200_000).cache()
 
 

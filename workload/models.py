@@ -25,7 +25,7 @@ from playtrace.streaming import files as SF
 from playtrace.streaming.scoring import FeatureStore, score_stream
 from workload.inputs import event_log, parsed_labels, question_labels, scores, scores_long, table
 from workload.registry import (
-    FOLDS, GLOG, GRID, LABELS, SCORES, VOCAB, glog, query, r, rounded, sweep_sql,
+    FOLDS, GLOG, LABELS, SCORES, VOCAB, glog, query, r, rounded,
 )
 from workload.relational import FEATURES_LONG, SG, stored_vocab
 from workload.scalar import NUMERIC, scratch
