@@ -246,3 +246,61 @@ def test_features_of_values_that_are_new_are_left_out(spark, log, tmp_path):
     assert packed.count() == changed.select(SESSION).distinct().count()
     carried = carry_forward({PHASES[0]: packed}, PHASES[:1])[PHASES[0]]
     assert P.vectors(carried, [catalog.where("kept").count()]).count() == packed.count()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_task_gets_a_bounded_share(spark, log, monkeypatch):
+    """The number of parts follows the rows, whatever the setting for shuffles is."""
+    from playtrace.plans import skew
+    rows = spark.range(100)
+    assert skew.task_count(rows, 10) == 10
+    assert skew.dealt(rows, ["id"], 10).rdd.getNumPartitions() == 10
+    monkeypatch.setattr(skew, "task_count", lambda df, most=0: 13)
+    assert "RepartitionByExpression [session_id" in plan_of(P.block(log, "0-4", None)) and ", 13" in plan_of(P.block(log, "0-4", None))
+
+
+def test_training_rows_are_cut_by_what_comes_out(spark):
+    from playtrace.operators.training import model_rows
+    labels = spark.range(40).selectExpr("id % 4 AS session", "CAST(id % 10 AS INT) AS level", "0 AS fold", "1 AS correct")
+    vectors = spark.range(4).selectExpr("id AS session_id", "array(1D) AS features")
+    out = model_rows(labels, vectors, 5)
+    assert out.count() == 40
+    assert plan_of(out).count("RepartitionByExpression [session") == 2 and ", 8" in plan_of(out)
+
+
+def test_a_profile_computes_its_block_once(log):
+    """What is made of a profile reads its rows and not the events again."""
+    assert "Window" not in plan_of(P.profile(P.block(log, "0-4", None)))
+
+
+def test_columns_are_dropped_in_one_pass_over_the_held_out_rows(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    from playtrace.operators import training
+    rows = spark.createDataFrame(
+        [(i, level, i % 3, int(i % 2 == 0), Vectors.dense([float(i % 2), float(i % 5)])) for i in range(30) for level in (1, 2)],
+        ["session", "level", "fold", "correct", "features"]).selectExpr(
+        "session", "CAST(level AS INT) AS level", "CAST(fold AS INT) AS fold", "CAST(correct AS INT) AS correct", "features")
+    seen, whole = [], training.oof_scores
+    monkeypatch.setattr(training, "oof_scores", lambda r, s: seen.append(r.count()) or whole(r, s))
+    spec = training.ModelSpec("logistic", "logistic", {"maxIter": 3, "regParam": 0.1})
+    out = {(r["level"], r["feature"]): r for r in training.drop_column_selection(rows, ["a", "b"], spec, [1, 2], 0).collect()}
+    assert seen == [20]
+    for level in (1, 2):
+        alone = training.fit_levels(rows, training.ModelSpec("x", "logistic", spec.params, {}, {level: [0]}), [level], [0], 1)
+        want = training.log_loss(training.oof_predict(rows, alone, "x")).first()["log_loss"]
+        assert out[level, "a"]["log_loss"] == pytest.approx(want) and not out[level, "a"]["drop"]
+
+
+def test_scoring_keeps_the_features_of_each_phase(spark, log, monkeypatch):
+    from playtrace.plans import training
+    kept = []
+    run = type("Run", (), {
+        "levels": {p: [1] for p in PHASES}, "features": lambda self, e, p, hot: e.where(F.col(PHASE) == p).groupBy(SESSION).agg(
+            F.array(F.lit(0)).alias("at"), F.array(F.lit(1.0)).alias("x")), "predict": lambda self, carried, p: carried.select(SESSION)})()
+    monkeypatch.setattr(training, "reliable", lambda df: kept.append(df) or df)
+    assert training.score(run, log, None).count() == sum(log.where(F.col(PHASE) == p).select(SESSION).distinct().count() for p in PHASES)
+    assert len(kept) == len(PHASES)
