@@ -144,7 +144,7 @@ def train(
             continue
         names = Places(sum(widths[:i + 1]))
         rows_path = f"{out.rows}/phase={i}"
-        S.write_table(model_rows(mine, S.read_table(spark, f"{out.carried}/phase={i}")), rows_path, ["level"])
+        S.write_table(model_rows(mine, S.read_table(spark, f"{out.carried}/phase={i}"), WIDE_ROWS), rows_path, ["level"])
         rows = read_vectors(spark, rows_path, MODEL_ROW)
 
         def fit(spec: ModelSpec):
