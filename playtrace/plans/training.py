@@ -19,14 +19,16 @@ from playtrace.operators.sparse import Places, block, numbered, pack, profile, p
 from playtrace.operators.stacking import apply_stack, ensemble_score, ridge_stack
 from playtrace.operators.training import ModelSpec, fit_levels, gains, model_rows, oof_predict
 from playtrace.operators.vocab import build_vocab
-from playtrace.plans.skew import CHECK, reliable
-from playtrace.schema import PHASE, PHASES
+from playtrace.plans.skew import CHECK, reliable, task_count
+from playtrace.schema import PHASE, PHASES, SESSION
 from playtrace.sources import tables as S
 
 #: Columns of the rows of a fit, before their vector.
 MODEL_ROW = [T.StructField("session", T.LongType()), *[T.StructField(c, T.IntegerType()) for c in ("level", "fold", "correct")]]
 #: Rows of such a fit that one task writes; their vectors have thousands of entries.
 WIDE_ROWS = 10_000
+#: Sessions that one task joins and scores; some tens of MB.
+SCORED_ROWS = 2_000
 
 
 @dataclass(frozen=True)
@@ -203,7 +205,11 @@ class StoredRun:
 def score(run: StoredRun, events: DataFrame, hot=CHECK) -> DataFrame:
     """Predictions of a stored run for all sessions of an event log, in batch.
 
-    Each phase's features are computed once and kept in the checkpoint folder: no task holds the statistics of several phases.
+    Each phase's features are computed once and kept in the checkpoint folder: no task holds the statistics of several phases. They
+    are joined in parts by sessions, ``SCORED_ROWS`` in each: Spark, left alone, joins parts by their size on disk, and packed
+    vectors are many times larger in a task.
     """
-    carried = carry_forward({p: reliable(run.features(events, p, hot)) for p in PHASES})
+    stored = {p: reliable(run.features(events, p, hot)) for p in PHASES}
+    parts = max(task_count(own, SCORED_ROWS) for own in stored.values())
+    carried = carry_forward({p: own.repartition(parts, SESSION) for p, own in stored.items()})
     return reduce(DataFrame.unionByName, [run.predict(carried[p], p) for p in PHASES if run.levels[p]])

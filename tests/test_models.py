@@ -12,6 +12,7 @@ from playtrace.operators import model_table as X
 from playtrace.operators import sparse as P
 from playtrace.operators import training as T
 from playtrace.operators.features import carry_forward, column_profile, feature_columns, session_features, stat_names, wide_values
+from playtrace.operators.stats import tall_stats
 from playtrace.operators.vocab import build_vocab
 from playtrace.plans.training import Layout, StoredRun, prepare_features, score, train
 from playtrace.schema import CATEGORY_COLUMNS, PHASE, PHASES, SESSION
@@ -304,3 +305,28 @@ def test_columns_are_dropped_in_one_pass_over_the_held_out_rows(spark, monkeypat
         alone = training.fit_levels(rows, training.ModelSpec("x", "logistic", spec.params, {}, {level: [0]}), [level], [0], 1)
         want = training.log_loss(training.oof_predict(rows, alone, "x")).first()["log_loss"]
         assert out[level, "a"]["log_loss"] == pytest.approx(want) and not out[level, "a"]["drop"]
+
+
+def test_batches_are_scored_in_slices(spark, rows, monkeypatch):
+    """No matrix has more than ``CELLS`` cells, and slices give the matrix of the whole batch, whatever kind its vectors are."""
+    monkeypatch.setattr(X, "CELLS", 8)
+    columns = np.array([1, 3])
+    values = vector_to_array("features")
+    sparse = (F.lit(0).cast("tinyint"), F.lit(N), F.array(F.lit(1), F.lit(3)), F.slice(values, 1, 2))
+    dense = (F.lit(1).cast("tinyint"), F.lit(None).cast("int"), F.lit(None).cast("array<int>"), values)
+    for kind in (sparse, dense):
+        vector = F.struct(*[x.alias(n) for x, n in zip(kind, ("type", "size", "indices", "values"))])
+        batch = rows.limit(21).select(vector.alias("features")).toArrow().combine_chunks().to_batches()[0]
+        whole = X.matrix(batch.column(0), columns)
+        parts = [X.matrix(b.column(0), columns) for b in X.slices(batch, columns)]
+        assert max(p.size for p in parts) <= 8 and len(parts) == 6
+        assert np.array_equal(np.concatenate(parts), whole)
+
+
+def test_statistics_of_values_are_computed_once(spark, monkeypatch):
+    """A block asks only for the statistics that it keeps; distinct values are counted without any."""
+    asked = []
+    monkeypatch.setattr(P, "tall_stats", lambda d, *columns: asked.append(columns) or tall_stats(d, *columns))
+    log, _ = event_log(spark, "/root/testdata/sf0.001")
+    P.block(log, PHASES[0], None)
+    assert asked == [()]
