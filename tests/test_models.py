@@ -2,6 +2,7 @@
 
 import math
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -330,3 +331,30 @@ def test_statistics_of_values_are_computed_once(spark, monkeypatch):
     log, _ = event_log(spark, "/root/testdata/sf0.001")
     P.block(log, PHASES[0], None)
     assert asked == [()]
+
+
+def test_fits_side_by_side_have_properties_of_their_own(spark):
+    """Local properties hold the number of the running execution, which no other thread may change."""
+    sc, both = spark.sparkContext, threading.Barrier(2)
+
+    def work(job):
+        sc.setLocalProperty("playtrace.job", str(job))
+        both.wait(60)
+        return sc.getLocalProperty("playtrace.job")
+
+    assert T._side_by_side(spark, [1, 2], work, 2) == ["1", "2"]
+
+
+def test_parts_of_a_fit_follow_its_entries(spark, rows, monkeypatch):
+    """Neither the files that rows were written to nor the number of questions decide what a fit holds."""
+    parts = []
+    monkeypatch.setattr(T, "_fit_fold", lambda mine, *_: parts.append((mine.rdd.getNumPartitions(), mine.count())))
+    many = rows.repartition(40)
+    T.fit_levels(many, SPECS[2], [1], [0])
+    n = rows.where("level = 1").count()
+    monkeypatch.setattr(T, "TASK_ENTRIES", n * N // 3)
+    T.fit_levels(many, SPECS[2], [1], [0])
+    assert parts[0] == (1, n) and parts[1] in [(3, n), (4, n)]
+    monkeypatch.setattr(T, "HELD_ENTRIES", 2_000)
+    assert [T._at_once({1: k, 2: 10}, 10, 8) for k in (10, 100, 1_000)] == [8, 2, 1]
+    assert T._at_once({}, 10, 8) == 8
