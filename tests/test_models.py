@@ -358,3 +358,12 @@ def test_parts_of_a_fit_follow_its_entries(spark, rows, monkeypatch):
     monkeypatch.setattr(T, "HELD_ENTRIES", 2_000)
     assert [T._at_once({1: k, 2: 10}, 10, 8) for k in (10, 100, 1_000)] == [8, 2, 1]
     assert T._at_once({}, 10, 8) == 8
+
+
+def test_rows_of_a_fit_stand_in_memory_once(rows, monkeypatch):
+    """A question's rows are on disk, its learner's blocks in memory; at 90,000 sessions and 1,342 features two questions fit."""
+    levels = []
+    monkeypatch.setattr(T, "_fit_fold", lambda mine, *_: levels.append(mine.storageLevel))
+    T.fit_levels(rows, SPECS[2], [1], [0])
+    assert levels[0].useDisk and not levels[0].useMemory
+    assert T._at_once({1: 90_000, 2: 90_000, 3: 90_000}, 1_342, 8) == 2
