@@ -17,15 +17,16 @@ from playtrace.operators.model_table import Scorer, model_table, score_models, s
 from playtrace.operators.modelsel import mean_importance, top_half
 from playtrace.operators.sparse import Places, block, numbered, pack, profile, pruned, read_vectors, vectors
 from playtrace.operators.stacking import apply_stack, ensemble_score, ridge_stack
-from playtrace.operators.training import ModelSpec, fit_levels, gains, model_rows, oof_predict
+from playtrace.operators.training import ModelSpec, fit_levels, gains, oof_predict, session_rows
 from playtrace.operators.vocab import build_vocab
 from playtrace.plans.skew import CHECK, reliable, task_count
 from playtrace.schema import PHASE, PHASES, SESSION
 from playtrace.sources import tables as S
 
-#: Columns of the rows of a fit, before their vector.
-MODEL_ROW = [T.StructField("session", T.LongType()), *[T.StructField(c, T.IntegerType()) for c in ("level", "fold", "correct")]]
-#: Rows of such a fit that one task writes; their vectors have thousands of entries.
+#: Columns of the rows that models are fitted on, before their vector: a session's questions and answers are two lists.
+MODEL_ROW = [T.StructField("session", T.LongType()), T.StructField("fold", T.IntegerType()),
+             *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("levels", "correct")]]
+#: Such rows that one task writes; their vectors have thousands of entries.
 WIDE_ROWS = 10_000
 #: Sessions that one task joins and scores; some tens of MB.
 SCORED_ROWS = 2_000
@@ -146,7 +147,7 @@ def train(
             continue
         names = Places(sum(widths[:i + 1]))
         rows_path = f"{out.rows}/phase={i}"
-        S.write_table(model_rows(mine, S.read_table(spark, f"{out.carried}/phase={i}"), WIDE_ROWS), rows_path, ["level"])
+        S.write_table(session_rows(mine, S.read_table(spark, f"{out.carried}/phase={i}"), WIDE_ROWS), rows_path)
         rows = read_vectors(spark, rows_path, MODEL_ROW)
 
         def fit(spec: ModelSpec):
